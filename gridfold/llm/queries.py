@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import media, mixing
+from . import media, mixing, secrets, simhash, toxicity
 from .common import table
 
 MIX_SEED, MIX_LEVELS = "mix", 3
@@ -14,13 +14,30 @@ def op2_media_columns(spark, sf_dir):
     return media.digest(table(spark, sf_dir, "documents"))
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark, sf_dir):
     rows, _ = mixing.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED, levels=MIX_LEVELS)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shard_1", "shard_2")
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_media_columns": op2_media_columns,
+    "op3_secret_scan": op3_secret_scan,
+    "op7_simhash_duplicates": op7_simhash_duplicates,
     "op8_mix_sources": op8_mix_sources,
 }
 
