@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import media, mixing, secrets, simhash, toxicity
-from .common import table
+from . import licenses, media, mixing, packing, secrets, simhash, toxicity, urlfilter
+from .common import hash60, table
 
 MIX_SEED, MIX_LEVELS = "mix", 3
 
@@ -24,6 +25,33 @@ def op3_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def captures(spark, sf_dir):
+    """The pages as captures: the day of the fetch, which the table lacks, is made from page_id."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(366)).cast("int"))
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", day.alias("day"))
+
+
+def list_entries(seen):
+    """Dated list entries for the hosts of captures: up to 6 a host, each for the host or for its last three labels."""
+    hosts = seen.select(urlfilter.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    made = hosts.select("host", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("i")).withColumn("k", hash60("entry", F.col("host"), F.col("i"))).where("k % 3 = 0")
+    return made.select(
+        F.element_at(F.array(F.lit("ads"), F.lit("malware"), F.lit("spam")), (F.expr("k div 12") % 3 + 1).cast("int")).alias("list"),
+        F.when(F.col("i") % 2 == 0, F.col("host")).otherwise(F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0)).alias("domain"),
+        F.when(F.expr("k div 3") % 4 == 0, "remove").otherwise("add").alias("action"),
+        F.date_add(F.lit("2023-12-01").cast("date"), (F.expr("k div 36") % 420).cast("int")).alias("day"),
+    ).distinct()
+
+
+def op4_url_filter(spark, sf_dir):
+    seen = captures(spark, sf_dir)
+    return urlfilter.filter_urls(seen, list_entries(seen)).select(F.col("id").alias("page_id"), "url", "day", "host", "blocked", "lists")
+
+
+def op6_pack_sequences(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_simhash_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,12 +61,19 @@ def op8_mix_sources(spark, sf_dir):
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shard_1", "shard_2")
 
 
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
+    "op4_url_filter": op4_url_filter,
+    "op6_pack_sequences": op6_pack_sequences,
     "op7_simhash_duplicates": op7_simhash_duplicates,
     "op8_mix_sources": op8_mix_sources,
+    "op9_license_scan": op9_license_scan,
 }
 
 
@@ -81,4 +116,39 @@ LEFT JOIN tree{MIX_LEVELS} a ON a.source IS NOT DISTINCT FROM t.source AND a.blo
 LEFT JOIN tree{MIX_LEVELS} b ON b.source IS NOT DISTINCT FROM t.source AND b.block = t.block AND b.copy = 2 AND t.copies >= 2"""
 
 
-ORACLES = {"op8_mix_sources": _op8_sql()}
+_OP4_SQL = r"""
+WITH cap AS (SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INT) AS "day",
+  lower(regexp_replace(regexp_replace(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^.*@', ''), '\.?(:[0-9]*)?$', '')) host FROM pages),
+keyed AS (SELECT host, i, ('0x' || substr(md5('entry:' || host || ':' || i), 1, 15))::BIGINT k FROM (SELECT DISTINCT host FROM cap WHERE host <> ''), range(6) t(i)),
+entries AS (SELECT DISTINCT ['ads', 'malware', 'spam'][(k // 12) % 3 + 1] list, CASE WHEN i % 2 = 0 THEN host ELSE regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$') END "domain",
+  CASE WHEN (k // 3) % 4 = 0 THEN 'remove' ELSE 'add' END action, DATE '2023-12-01' + CAST((k // 36) % 420 AS INT) "day" FROM keyed WHERE k % 3 = 0),
+spans AS (SELECT *, coalesce(lead("day") OVER (PARTITION BY list, "domain" ORDER BY "day", action), DATE '9999-12-31') "until" FROM entries),
+names AS (SELECT host, "day", unnest(list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) "name"
+  FROM (SELECT DISTINCT host, "day" FROM cap WHERE host <> '')),
+hit AS (SELECT n.host, n."day", array_to_string(list_sort(list(DISTINCT s.list)), ',') lists FROM names n JOIN spans s
+  ON s."domain" = n."name" AND s.action = 'add' AND n."day" >= s."day" AND n."day" < s."until" GROUP BY ALL)
+SELECT c.page_id, c.url, c."day", c.host, h.lists IS NOT NULL blocked, coalesce(h.lists, '') lists FROM cap c LEFT JOIN hit h ON h.host = c.host AND h."day" = c."day" """
+
+
+def _op9_sql() -> str:
+    def quoted(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def canonical(x: str) -> str:
+        out = rf"regexp_replace(translate({x}, '{licenses.UPPER}', '{licenses.LOWER}'), {quoted(licenses.COPYRIGHT)}, '\1', 'g')"
+        out = f"' ' || trim(regexp_replace({out}, {quoted(licenses.BETWEEN)}, ' ', 'g'), ' ') || ' '"
+        for a, b in licenses.SPELLINGS:
+            out = f"replace({out}, {quoted(a)}, {quoted(b)})"
+        return f"sha256(trim({out}, ' '))"
+
+    values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licenses.KNOWN)
+    return f"""
+WITH known AS (SELECT {canonical("t")} k, min(n) "license", bool_or(NOT contains(t, chr(10))) one FROM (VALUES {values}) v(n, t) GROUP BY 1),
+docs AS (SELECT row_number() OVER () r, doc_id, coalesce(text, '') t FROM documents),
+lines AS (SELECT r, unnest(list_filter(string_split(t, chr(10)), lambda x: contains(translate(x, '{licenses.UPPER}', '{licenses.LOWER}'), 'licen'))) l FROM docs),
+met AS (SELECT r, count(*) n, array_to_string(list_sort(list(DISTINCT "license")), ',') s FROM (SELECT r, {canonical("l")} k FROM lines) JOIN known USING (k) WHERE one GROUP BY r)
+SELECT doc_id, {canonical("t")} digest, known."license", coalesce(n, 0)::BIGINT n_notices, coalesce(s, '') notices
+FROM docs LEFT JOIN known ON known.k = {canonical("t")} LEFT JOIN met USING (r)"""
+
+
+ORACLES = {"op4_url_filter": _OP4_SQL, "op8_mix_sources": _op8_sql(), "op9_license_scan": _op9_sql()}
