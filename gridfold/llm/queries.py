@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, packing, secrets, simhash, toxicity, urlfilter
+from . import licenses, media, mixing, packing, secrets, simhash, toxicity, urlfilter, vectors
 from .common import hash60, table
 
 MIX_SEED, MIX_LEVELS = "mix", 3
@@ -65,6 +65,10 @@ def op9_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_vector_duplicates(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_media_columns": op2_media_columns,
@@ -74,6 +78,7 @@ QUERIES = {
     "op7_simhash_duplicates": op7_simhash_duplicates,
     "op8_mix_sources": op8_mix_sources,
     "op9_license_scan": op9_license_scan,
+    "op10_vector_duplicates": op10_vector_duplicates,
 }
 
 
