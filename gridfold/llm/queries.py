@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, packing, secrets, simhash, toxicity, urlfilter, vectors
+from . import licenses, media, mixing, packing, secrets, simhash, suffixes, toxicity, urlfilter, vectors
 from .common import hash60, table
 
 MIX_SEED, MIX_LEVELS = "mix", 3
@@ -48,6 +48,10 @@ def op4_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(seen, list_entries(seen)).select(F.col("id").alias("page_id"), "url", "day", "host", "blocked", "lists")
 
 
+def op5_repeated_spans(spark, sf_dir):
+    return suffixes.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
     "op4_url_filter": op4_url_filter,
+    "op5_repeated_spans": op5_repeated_spans,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_simhash_duplicates": op7_simhash_duplicates,
     "op8_mix_sources": op8_mix_sources,
