@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from gridfold.plans import maps, pictures, spectra
+from gridfold.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "maps", "pictures", "spectra"]
