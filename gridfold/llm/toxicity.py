@@ -98,6 +98,11 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate:
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for c in x.T]
     # a feature that is zero almost everywhere still gets the cut between zero and the rest
     edges = [np.unique(np.append(e, [0.0, *np.quantile(c[c > 0], (0.25, 0.5, 0.75), method="lower")] if (c > 0).any() else [0.0])) for e, c in zip(edges, x.T, strict=True)]
+    # a cut lies halfway to the next value that occurs, so new values between the two fall to the nearer side
+    for k, (e, c) in enumerate(zip(edges, x.T, strict=True)):
+        values = np.unique(c)
+        above = np.minimum(np.searchsorted(values, e, "right"), len(values) - 1)
+        edges[k] = np.unique((e + np.maximum(values[above], e)) / 2)
     codes = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)], 1)
     width = max(len(e) for e in edges) + 1
     flat = codes + np.arange(x.shape[1]) * width
@@ -160,10 +165,13 @@ class Model:
 
 
 def lexicon(counts: dict, toxic: int, clean: int, most: int, support: int, ratio: float) -> tuple[dict, dict]:
-    """Words and beginnings whose smoothed rate among toxic texts is `ratio` times that among others, the strongest first."""
+    """Words and beginnings whose smoothed rate among toxic texts is `ratio` times that among others, the strongest first.
+
+    The logarithm of the ratio is lowered by one and a half of its standard errors, so that chance words don't pass.
+    """
     scored = []
     for key, (t, c) in counts.items():
-        weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+        weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) - 1.5 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
         if t >= support and weight >= math.log(ratio):
             scored.append((weight, t, key))
     scored.sort(key=lambda r: (-r[0] * math.log1p(r[1]), r[2]))
