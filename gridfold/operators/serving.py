@@ -175,3 +175,33 @@ def scene_path(scene: Column, root: str, level: str) -> Column:
     sensor = F.when(hyper, "hyperion").otherwise("ali")
     suffix = F.when(hyper, "HYP").otherwise("ALI")
     return F.concat(F.lit(root + "/"), sensor, F.lit(f"_{level}/"), F.substring(scene, 11, 4), F.lit("/"), F.substring(scene, 15, 3), F.lit("/"), F.substring(scene, 1, 22), F.lit("_"), suffix, F.lit(f"_{level.upper()}"))
+
+
+def visible_scenes(images: DataFrame, tiles: DataFrame, root: str, level: str) -> DataFrame:
+    """Distinct archive paths of the scenes behind the images of tiles(depth, long_index, lat_index); the scene's id is the
+    first of the metadata's band file names, by key, cut to 22 characters."""
+    names = F.map_filter("metadata", lambda k, v: k.startswith("BAND") & k.endswith("_FILE_NAME") & v.isNotNull())
+    scene = F.substring(F.array_min(F.map_entries(names))["value"], 1, 22)
+    met = images.join(tiles.distinct(), ["depth", "long_index", "lat_index"], "left_semi").select(scene.alias("scene")).where("scene is not null")
+    return met.distinct().select(scene_path(F.col("scene"), root, level).alias("path")).distinct()
+
+
+def dumped(metadata: Column) -> Column:
+    """A column of maps as lines 'key: value', keys in order."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(metadata)), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("null")))), "\n")
+
+
+def shown_time(ts: Column) -> Column:
+    return F.date_format(F.timestamp_seconds(ts), "yyyy-MM-dd HH:mm")
+
+
+def shown_month(ts: Column) -> Column:
+    return F.date_format(F.timestamp_seconds(ts), "M/yy")
+
+
+def first_segment(conditions: list[tuple[str, Column]]) -> Column:
+    """Name of the first segment whose condition holds, or null."""
+    out = F.lit(None).cast("string")
+    for name, condition in reversed(conditions):
+        out = F.when(condition, name).otherwise(out)
+    return out

@@ -186,3 +186,24 @@ def region_growth(labels: DataFrame, width: int, height: int, steps: int = 19) -
     for _ in range(steps):
         labels = grown(labels, width, height).checkpoint()
     return labels
+
+
+def band_deviation(spectrum: Column) -> Column:
+    """Population deviation of a pixel's bands."""
+    n = F.size(spectrum).cast("double")
+    mean = F.aggregate(spectrum, F.lit(0.0), lambda s, v: s + v) / n
+    return F.sqrt(F.aggregate(spectrum, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean)) / n)
+
+
+def on_grid(pixels: DataFrame, own: list[float], other: list[float]) -> DataFrame:
+    """Pixels with row and col of the other scene's grid, by the two affine transforms: the nearest place, so that pixels of
+    two scenes meet by equality. Rotation terms aren't applied."""
+    lon, lat = F.lit(own[0]) + (F.col("x") + 0.5) * own[1], F.lit(own[3]) + (F.col("y") + 0.5) * own[5]
+    place = lambda v, start, step: F.floor((v - start) / step).cast("int")
+    return pixels.withColumns({"col": place(lon, other[0], other[1]), "row": place(lat, other[3], other[5])})
+
+
+def aligned_change(a: DataFrame, b: DataFrame, a_transform: list[float], b_transform: list[float]) -> DataFrame:
+    """Change of scene b against scene a where they overlap, on a's grid; of several pixels of b in one place the first."""
+    on = on_grid(b, b_transform, a_transform).groupBy("row", "col").agg(F.min_by("spectrum", F.struct("y", "x")).alias("spectrum"))
+    return change(a.select(F.col("y").alias("row"), F.col("x").alias("col"), "spectrum"), on, ["row", "col"])

@@ -288,3 +288,24 @@ def projected_places(spark, sf_dir):
 def zoom_levels(spark, sf_dir):
     rows = fx.points(spark, sf_dir).select("id", tiling.depth_of_zoom(F.col("id") % 20).alias("depth"))
     return rows.select("id", "depth", tiling.marker_size("depth").alias("marker"), tiling.group_depth("depth").alias("grouped"))
+
+
+@query(f"""WITH {_IMAGES}, seen AS (SELECT DISTINCT 'EO1' || CASE WHEN id % 2 = 0 THEN 'H' ELSE 'A' END || printf('%06d', x) || '2012' || printf('%03d', y) || '11010' scene FROM images WHERE x BETWEEN 10 AND 60 AND y BETWEEN 10 AND 90)
+SELECT '/archive/' || CASE WHEN scene LIKE 'EO1H%' THEN 'hyperion' ELSE 'ali' END || '_l1g/' || substr(scene, 11, 4) || '/' || substr(scene, 15, 3) || '/' || scene || '_' || CASE WHEN scene LIKE 'EO1H%' THEN 'HYP' ELSE 'ALI' END || '_L1G' path FROM seen""")
+def visible_scenes(spark, sf_dir):
+    """Archive paths of the scenes behind the tiles in view."""
+    images = _images(spark, sf_dir)
+    scene = F.concat(F.lit("EO1"), F.when(F.col("id") % 2 == 0, "H").otherwise("A"), F.format_string("%06d", "long_index"), F.lit("2012"), F.format_string("%03d", "lat_index"), F.lit("11010"))
+    images = images.withColumn("metadata", F.create_map(F.lit("BAND1_FILE_NAME"), F.concat(scene, F.lit("_B01.TIF")), F.lit("OTHER"), F.lit("x")))
+    view = images.where("long_index between 10 and 60 and lat_index between 10 and 90").select("depth", "long_index", "lat_index")
+    return serving.visible_scenes(images, view, "/archive", "l1g")
+
+
+@query("""SELECT event_id id, 'a: ' || event_type || chr(10) || 'k: ' || coalesce(json_extract_string(props, '$.k'), 'null') dump, strftime(ts, '%Y-%m-%d %H:%M') shown, month(ts) || '/' || strftime(ts, '%y') "month",
+CASE WHEN value > 80 THEN 'bright' WHEN event_type = 'click' THEN 'click' WHEN value > 20 THEN 'middle' END segment FROM events""")
+def metadata_dump(spark, sf_dir):
+    """Metadata as sorted lines, times as shown, and the first segment that a point falls into."""
+    p = fx.points(spark, sf_dir)
+    m = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"), F.lit("a"), F.col("layer"))
+    segment = serving.first_segment([("bright", F.col("intensity") > 80), ("click", F.col("layer") == "click"), ("middle", F.col("intensity") > 20)])
+    return p.select("id", serving.dumped(m).alias("dump"), serving.shown_time(F.col("ts")).alias("shown"), serving.shown_month(F.col("ts")).alias("month"), segment.alias("segment"))

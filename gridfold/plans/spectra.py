@@ -332,3 +332,17 @@ def bayes_classes(spark, sf_dir):
 def kernel_classes(spark, sf_dir):
     train, p = _classes(spark, sf_dir)
     return training.kernel_classified(train, p, gamma=1.0, most=500)
+
+
+@query(f"""WITH {fx.PIXELS}, b AS (SELECT floor((50e0 + (y + 0.5) * -0.5 - 49) / -1)::INT "row", floor((10e0 + (x + 0.5) * 0.5 - 11) / 1)::INT col, arg_min(s, y * 1000 + x) s FROM pixels GROUP BY ALL),
+m AS (SELECT a.y "row", a.x col, list_dot_product(a.s, a.s) * list_dot_product(b.s, b.s) n, list_dot_product(a.s, b.s) d FROM pixels a JOIN b ON a.y = b."row" AND a.x = b.col)
+SELECT "row", col, round(CASE WHEN (n - d * d) / n BETWEEN 0 AND 1 THEN (n - d * d) / n ELSE 0 END, 6) "change" FROM m""")
+def aligned_change(spark, sf_dir):
+    """Change between two scenes of different grids, one twice as fine as the other."""
+    p = fx.pixels(spark, sf_dir)
+    return spectral.aligned_change(p, p, [11.0, 1.0, 0.0, 49.0, 0.0, -1.0], [10.0, 0.5, 0.0, 50.0, 0.0, -0.5]).select("row", "col", r6("change", "change"))
+
+
+@query(f"""WITH {fx.PIXELS}, l AS (SELECT id, unnest(s) v FROM pixels) SELECT id, round(stddev_pop(v), 6) deviation FROM l GROUP BY id""")
+def band_deviations(spark, sf_dir):
+    return fx.pixels(spark, sf_dir).select("id", r6(spectral.band_deviation(F.col("spectrum")), "deviation"))
