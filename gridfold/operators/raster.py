@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridfold.functions import png, tiling
+from gridfold.session import cut
 
 #: Pole of the cubic B-spline's recursive prefilter.
 POLE = np.sqrt(3.0) - 2.0
@@ -236,7 +237,7 @@ def pyramid(images: DataFrame, shallowest: int = 0) -> DataFrame:
         return images
     level, whole = images, images
     for _ in range(deepest - shallowest):
-        level = zoom_out(level).checkpoint()
+        level = cut(zoom_out(level))
         whole = whole.unionByName(level)
     return whole
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridfold.functions import radiometry
+from gridfold.session import cut
 
 
 def squared_norm(v: Column) -> Column:
@@ -66,7 +67,7 @@ def cost(assigned: DataFrame) -> DataFrame:
 def k_means(pixels: DataFrame, centers: DataFrame, keys: list[str], rounds: int = 100, still: float = 1e-2, very_still: float = 1e-3) -> DataFrame:
     """Centres after as many rounds as it takes until all move less than `still` and more than half less than `very_still`."""
     for _ in range(rounds):
-        new = moved_centers(nearest(pixels, centers, keys), centers).checkpoint()
+        new = cut(moved_centers(nearest(pixels, centers, keys), centers))
         moves = new.join(centers.select("cluster", F.col("center").alias("old")), "cluster").select(distance(F.col("center"), F.col("old")).alias("m"))
         r = moves.agg(F.max("m").alias("most"), F.count_if(F.col("m") < very_still).alias("calm"), F.count(F.lit(1)).alias("k")).first()
         centers = new.select("cluster", "center")
@@ -86,7 +87,7 @@ def best_start(pixels: DataFrame, k: int, keys: list[str], trials: int = 10, of:
     """The cheapest of several clusterings of samples, as centres to go on from with all pixels."""
     found = []
     for seed in range(trials):
-        part = pixels.orderBy(F.xxhash64("spectrum", F.lit(seed))).limit(of).checkpoint()
+        part = cut(pixels.orderBy(F.xxhash64("spectrum", F.lit(seed))).limit(of))
         centers = k_means(part, seeded(part, k, seed, of), keys, rounds)
         found.append((cost(nearest(part, centers, keys)).first().cost, seed, centers))
     return min(found, key=lambda r: r[:2])[2]
@@ -184,7 +185,7 @@ def grown(labels: DataFrame, width: int, height: int) -> DataFrame:
 
 def region_growth(labels: DataFrame, width: int, height: int, steps: int = 19) -> DataFrame:
     for _ in range(steps):
-        labels = grown(labels, width, height).checkpoint()
+        labels = cut(grown(labels, width, height))
     return labels
 
 

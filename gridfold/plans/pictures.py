@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridfold.operators import raster, rollup, runs, topology
 from gridfold.plans import fixtures as fx
 from gridfold.plans.registry import query, r6
+from gridfold.session import cut
 
 _NEIGHBOURS = f"""{fx.ELEVATION}, size_ AS (SELECT max(y) + 1 hh FROM dem),
 n AS (SELECT d.*, u.h up, b.h down, l.h "left", r.h "right" FROM dem d, size_ s JOIN dem u ON u.x = d.x AND u.y = (d.y + hh - 1) % hh JOIN dem b ON b.x = d.x AND b.y = (d.y + 1) % hh
@@ -125,5 +126,5 @@ def rendered_tiles(spark, sf_dir):
     """Scenes cut into tiles of depth 6 and rendered to two layers, with their pyramid up to the globe."""
     tiles = raster.make_tiles(_scenes(spark, sf_dir), depth=6, width=32, height=16)
     layers = [raster.Layer("RGB", ("B03", "B02", "B01")), raster.Layer("HEIGHT", ("B01",), "grey", "5%", "sun")]
-    images = raster.render(tiles, layers, 32, 16).checkpoint()
+    images = cut(raster.render(tiles, layers, 32, 16))
     return raster.pyramid(images).select("depth", "long_index", "lat_index", "layer", "ts", F.sha2("png", 256).alias("png_sha256"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "gridfold", **settings: str) -> SparkSession:
@@ -11,3 +13,12 @@ def session(app: str = "gridfold", **settings: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df materialised in the folder that spark.checkpoint.dir names, which a cluster's machines share; a temporary one is
+    set where that is unset. For steps that are repeated or read more than once."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gridfold-"))
+    return df.checkpoint()
