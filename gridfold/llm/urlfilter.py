@@ -46,10 +46,10 @@ def verdicts(captures: DataFrame, entries: DataFrame) -> DataFrame:
     bucket = lambda day: F.floor(F.unix_date(day) / BUCKET_DAYS)
     asked = captures.where("day is not null and host <> ''").select("host", "day").distinct()
     keys = asked.select("host", "day", bucket("day").alias("bucket"), F.explode(parents(F.col("host"))).alias("name"))
-    spans = cut(intervals(entries))
-    last = asked.agg(F.max("day").alias("last"))
     # an interval is held in the buckets up to the last capture's
-    held = spans.crossJoin(F.broadcast(last)).where("since <= last").select("list", "domain", "since", "until", F.explode(F.sequence(bucket("since"), bucket(F.least(F.date_sub("until", 1), "last")))).alias("b"))
+    last = F.lit(asked.agg(F.max("day")).first()[0]).cast("date")
+    spans = intervals(entries).where(F.col("since") <= last)
+    held = cut(spans.select("list", "domain", "since", "until", F.explode(F.sequence(bucket("since"), bucket(F.least(F.date_sub("until", 1), last)))).alias("b")))
     hit = keys.join(small(held), (F.col("name") == F.col("domain")) & (F.col("bucket") == F.col("b")) & (F.col("day") >= F.col("since")) & (F.col("day") < F.col("until")))
     return hit.groupBy("host", "day").agg(F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"))
 
