@@ -25,37 +25,72 @@ FILLER = 4
 TRAILING = ".,;:!?%&$#*|"
 
 
-class Pieces(dict):
+#: ASCII letters lowered, and the white space that texts have, all blanks.
+PLAIN = bytes(32 if b in b"\t\n\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+class Pieces:
     """Token ids of white-space chunks, as little-endian 32-bit bytes. The tokenizer drops white space and matches none of
-    its patterns across it, so a text's ids are its chunks' ids in a row; ASCII letters are lowered first, as it does."""
+    its patterns across it, so a text's ids are its chunks' ids in a row; ASCII letters are lowered first, as it does.
+
+    Known chunks are held in two generations: when the younger one is full, it becomes the elder one, whose entries are
+    taken over as they are asked for. So memory is bounded and frequent chunks stay.
+    """
 
-    def __init__(self, path: str, most: int = 600_000):
-        super().__init__()
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.most, self.tokenizer = most, Tokenizer.from_file(path)
+        self.most, self.young, self.old, self.tokenizer = most, {b"": b""}, {}, Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > self.most:
-            self.clear()
-        new = chunks - self.keys()
-        # letters and the signs behind them are separate words to the tokenizer
+        self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.final[i] = token.endswith("</w>")
+
+    def learn(self, chunks: set[bytes]) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {b"": b""}
+        young, old = self.young, self.old
         parts = {}
-        for c in new:
-            stem = c.rstrip(TRAILING)
-            parts[c] = (stem, c[len(stem) :]) if stem and stem != c and (stem[-1].isalpha() or stem[-1].isdecimal()) else (c,)
-        words = list({p for x in parts.values() for p in x} - self.keys())
-        for word, code in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self[word] = np.array(code.ids, "<u4").tobytes()
+        for c in chunks:
+            if (ids := old.get(c)) is not None:
+                young[c] = ids
+                continue
+            # letters and the signs behind them are separate words to the tokenizer
+            word = c.decode("utf-8", "surrogatepass")
+            stem = word.rstrip(TRAILING)
+            split = stem and stem != word and (stem[-1].isalpha() or stem[-1].isdecimal())
+            parts[c] = (stem, word[len(stem) :]) if split else (word,)
+        words = list({w for x in parts.values() for w in x})
+        codes = {}
+        for word in words:
+            key = word.encode("utf-8", "surrogatepass")
+            codes[word] = young.get(key) or old.get(key)
+        new = [w for w in words if codes[w] is None]
+        # a word of letters is one unit to the tokenizer, so many go as one text, which its ends of words cut again
+        plain = [w for w in new if w.isalpha()]
+        for i in range(0, len(plain), 1024):
+            some = plain[i : i + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.final[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                data = ids.tobytes()
+                codes.update(zip(some, [data[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        new = [w for w in new if codes[w] is None]
+        codes.update((w, np.array(code.ids, "<u4").tobytes()) for w, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True))
+        young.update((w.encode("utf-8", "surrogatepass"), codes[w]) for w in words)
         for c, x in parts.items():
-            if len(x) > 1:
-                self[c] = self[x[0]] + self[x[1]]
+            young[c] = b"".join([codes[w] for w in x])
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        self.learn(set().union(*chunks))
-        return [b"".join(map(self.__getitem__, c)) for c in chunks]
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of UTF-8 texts."""
+        chunks = [t.translate(PLAIN).split(b" ") for t in texts]
+        found = [list(map(self.young.get, c)) for c in chunks]
+        open_ = [k for k, ids in enumerate(found) if None in ids]
+        if open_:
+            self.learn({c for k in open_ for c, ids in zip(chunks[k], found[k], strict=True) if ids is None} | {b""})
+            for k in open_:
+                found[k] = [self.young[c] if ids is None else ids for c, ids in zip(chunks[k], found[k], strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 _caches: dict[str, Pieces] = {}
@@ -83,7 +118,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
         for batch in batches:
             for part in slices(batch, most=2 << 20):
                 rows = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), cache.ids(part.column("text").to_pylist()), strict=True):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), cache.ids(part.column("text").cast(pa.binary()).to_pylist()), strict=True):
                     ids += end
                     for k in range(0, len(ids), step):
                         cut_ids = ids[k : k + step]
