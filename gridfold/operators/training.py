@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridfold.session import cut
+
 
 def balanced(rows: DataFrame, most: int = 5000, seed: int = 1, label: str = "label", key: str = "id") -> DataFrame:
     """As many rows of each class as the first one (by label) has, `most` at most, in an order drawn by a hash of the key."""
@@ -45,7 +47,8 @@ def classifier(rows: DataFrame, kind: str = "svm", cost: float = 1000.0, rounds:
         "bayes": lambda: NaiveBayes(modelType="gaussian", featuresCol="v", labelCol=label),
         "tree": lambda: DecisionTreeClassifier(featuresCol="v", labelCol=label, seed=1),
     }[kind]()
-    return Pipeline(stages=[stage]).fit(rows.withColumn("v", array_to_vector(features)))
+    # fitting reads its rows many times over
+    return Pipeline(stages=[stage]).fit(cut(rows.select(label, array_to_vector(features).alias("v"))))
 
 
 def classified(model, rows: DataFrame, features: str = "features") -> DataFrame:
