@@ -236,6 +236,12 @@ def _bytes(column) -> list[bytes]:
 
 
 def find_anchors(rows: DataFrame) -> DataFrame:
+    """(doc_id, tag, meta, key, around, again) of all anchors; key is the gram.
+
+    Of anchors alike in gram and surroundings that one batch holds, all are known to occur again; one stands for them under
+    the gram, and the others get keys of their own. So what a very common passage sends to one place is a row a batch.
+    """
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -244,10 +250,16 @@ def find_anchors(rows: DataFrame) -> DataFrame:
                     at, least, greatest, gram, around = anchors(np.frombuffer(text, np.uint8))
                     out.append((np.full(len(at), i), packed(at, least, greatest), gram, around))
                 row, meta, gram, around = (np.concatenate(c) for c in zip(*out, strict=True))
-                by = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(by), part.column("tag").take(by), pa.array(meta), pa.array(gram), pa.array(around)], names=["doc_id", "tag", "meta", "gram", "around"])
+                by = np.lexsort((around, gram))
+                same = (gram[by][1:] == gram[by][:-1]) & (around[by][1:] == around[by][:-1])
+                later, again = np.zeros(len(row), bool), np.zeros(len(row), bool)
+                later[by[1:][same]] = True
+                again[by[1:][same]] = again[by[:-1][same]] = True
+                doc_id = part.column("doc_id").take(pa.array(row))
+                own = mixed(meta.view(np.uint64) ^ mixed(np.arange(len(row), dtype=np.uint64) ^ gram.view(np.uint64))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([doc_id, part.column("tag").take(pa.array(row)), pa.array(meta), pa.array(np.where(later, own, gram)), pa.array(around), pa.array(again)], names=["doc_id", "tag", "meta", "key", "around", "again"])
 
-    return rows.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, meta long, gram long, around long")
+    return rows.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, meta long, key long, around long, again boolean")
 
 
 def shared_anchors(found: DataFrame) -> DataFrame:
@@ -255,12 +267,12 @@ def shared_anchors(found: DataFrame) -> DataFrame:
 
     One shuffle of the anchors; a gram's anchors are sorted, which spills, and never gathered.
     """
-    order, all_ = W.partitionBy("gram").orderBy("around"), W.partitionBy("gram")
+    order, all_ = W.partitionBy("key").orderBy("around"), W.partitionBy("key")
     seen = found.withColumn("prev", F.lag("around").over(order)).withColumn("next", F.lead("around").over(order))
     seen = seen.withColumn("several", F.min("around").over(all_) != F.max("around").over(all_))
-    settled = F.coalesce(F.col("prev") == F.col("around"), F.lit(False)) | F.coalesce(F.col("next") == F.col("around"), F.lit(False))
+    settled = F.col("again") | F.coalesce(F.col("prev") == F.col("around"), F.lit(False)) | F.coalesce(F.col("next") == F.col("around"), F.lit(False))
     asked = F.col("several") & F.coalesce(F.col("prev") != F.col("around"), F.lit(True))
-    return seen.select("doc_id", "tag", "meta", "gram", settled.alias("settled"), asked.alias("asked")).where("settled or asked")
+    return seen.select("doc_id", "tag", "meta", F.col("key").alias("gram"), settled.alias("settled"), asked.alias("asked")).where("settled or asked")
 
 
 def surroundings(rows: DataFrame, asked: DataFrame) -> DataFrame:
