@@ -15,7 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points spread over the globe: id, lon, lat, ts, layer, intensity, user_id, props."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return points_of(table(spark, sf_dir, "events"))
+
+
+def points_of(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "event_id id", "cast((event_id * 7919) % 36000 as double) / 100e0 - 180e0 lon", "cast((event_id * 104729) % 18000 as double) / 100e0 - 90e0 lat",
         "unix_timestamp(ts) ts", "event_type layer", "value intensity", "user_id", "props",
     )

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridfold.functions import geodesy, tiling
 from gridfold.operators import clusters, footprints, rollup, serving
 from gridfold.plans import fixtures as fx
 from gridfold.plans.registry import query, r6
+from gridfold.session import shared_folder
+from gridfold.sources.store import Store
+from gridfold.streaming import ingest
 
 
 def _placed(spark, sf_dir, clustered=False):
@@ -309,3 +314,17 @@ def metadata_dump(spark, sf_dir):
     m = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"), F.lit("a"), F.col("layer"))
     segment = serving.first_segment([("bright", F.col("intensity") > 80), ("click", F.col("layer") == "click"), ("middle", F.col("intensity") > 20)])
     return p.select("id", serving.dumped(m).alias("dump"), serving.shown_time(F.col("ts")).alias("shown"), serving.shown_month(F.col("ts")).alias("month"), segment.alias("segment"))
+
+
+@query(f"""WITH {fx.POINTS} SELECT id, intensity, long_index, lat_index FROM placed WHERE intensity > 60""")
+def streamed_bright_points(spark, sf_dir):
+    """Bright points taken as a stream of files and upserted into a store, which is then read."""
+    path, folder = f"{sf_dir}/events.parquet", f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    # a pattern, since the table may be a file or a folder of files
+    stream = fx.points_of(ingest.arriving(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema))
+    store = Store(spark, f"{folder}/points", ["row_key"])
+    ingest.upsert_into(ingest.bright_stream(stream, 60.0), store, f"{folder}/checkpoint").awaitTermination()
+    taken = store.read()
+    if taken is None:  # nothing was bright
+        taken = ingest.bright_stream(fx.points(spark, sf_dir).limit(0), 60.0)
+    return taken.select("id", "intensity", "long_index", "lat_index")

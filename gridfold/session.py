@@ -20,5 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
     set where that is unset. For steps that are repeated or read more than once."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gridfold-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, or a temporary one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = "file://" + tempfile.mkdtemp(prefix="gridfold-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
