@@ -92,10 +92,11 @@ def forest(key: np.ndarray, fp: np.ndarray, ids: np.ndarray, most: int) -> tuple
             a, b = (*a, x), (*b, y)
         return np.concatenate(a), np.concatenate(b)
     i, j = _pairs(start, end, fp, most)
-    return _span(i, j, ids)
+    return spanning(i, j, ids)
 
 
-def _span(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids, one for each row but a component's least, that connect what the links (i, j) of rows connect."""
     label = np.arange(len(ids))
     while len(i):
         low = np.minimum(label[i], label[j])
@@ -137,11 +138,11 @@ def _large(fp: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.n
                     keep_a.append(rows[near]), keep_b.append(at[near])
                     at = at + 1
                     if sum(map(len, keep_a)) > 1 << 20:
-                        x, y = _span(np.concatenate(keep_a), np.concatenate(keep_b), d)
+                        x, y = spanning(np.concatenate(keep_a), np.concatenate(keep_b), d)
                         out_a.append(x), out_b.append(y)
                         keep_a, keep_b = [], []
                 if keep_a:
-                    x, y = _span(np.concatenate(keep_a), np.concatenate(keep_b), d)
+                    x, y = spanning(np.concatenate(keep_a), np.concatenate(keep_b), d)
                     out_a.append(x), out_b.append(y)
     return np.concatenate(out_a), np.concatenate(out_b)
 

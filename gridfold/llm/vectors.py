@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 from .components import components
+from .simhash import spanning as span
 
 #: Edges of a vertex: nearest ones, and far ones among random members; reverse edges come on top.
 NEAR_EDGES, FAR_EDGES = 16, 8
@@ -226,7 +227,8 @@ def graph(shards: DataFrame) -> DataFrame:
 
 
 def links(reps: DataFrame, least: float = 0.95, shard_rows: int = 1000, overlap: int = 3, max_sample: int = 20_000, max_shards: int = 4000) -> DataFrame:
-    """Distinct links (a, b), a < b, of reps(id, v) that the graph's searches find, verified in double precision.
+    """Distinct links (a, b), a < b, of reps(id, v) that the graph's searches find, verified in double precision; and, with
+    tree set, pairs that connect what a task's links connect, as few as that takes.
 
     Centroids come from a bounded sample; each vector lies in its `overlap` nearest shards. A shard that turns out larger
     than four times `shard_rows` has its centroid replaced by several, from a sample of its own rows, in up to three rounds
@@ -276,10 +278,11 @@ def links(reps: DataFrame, least: float = 0.95, shard_rows: int = 1000, overlap:
                 for j in range(0, len(p), 1 << 16):
                     s, t = p[j : j + (1 << 16)], q[j : j + (1 << 16)]
                     sure = np.einsum("id,id->i", x[s], x[t]) >= least
-                    s, t = ids[s[sure]], ids[t[sure]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s, t)), pa.array(np.maximum(s, t))], names=["a", "b"])
+                    s, t = s[sure], t[sure]
+                    a, b = span(s, t, ids)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.minimum(ids[s], ids[t]), b]), pa.array(np.r_[np.maximum(ids[s], ids[t]), a]), pa.array(np.arange(len(s) + len(a)) >= len(s))], names=["a", "b", "tree"])
 
-    return whole.mapInArrow(run, "a long, b long").distinct()
+    return whole.mapInArrow(run, "a long, b long, tree boolean").distinct()
 
 
 def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int = 400) -> float:
@@ -302,7 +305,7 @@ def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int =
 
     true = cut(reps.select("id", "v").mapInArrow(run, "a long, b long").distinct())
     n = true.count()
-    return 1.0 if not n else true.join(found, ["a", "b"], "left_semi").count() / n
+    return 1.0 if not n else true.join(found.select("a", "b"), ["a", "b"], "left_semi").count() / n
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9, id_column: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
@@ -316,17 +319,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
     rows = cut(rows.withColumn("ok", valid(F.col("v")) & F.col("vec_id").isNotNull()))
     classes = cut(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")))
-    found = cut(links(classes, least, **options))
+    every = cut(links(classes, least, **options))
     overlap = options.pop("overlap", 3)
     for _ in range(2):
-        if audit(classes, found, least) >= recall:
+        if audit(classes, every.where("not tree"), least) >= recall:
             break
         overlap *= 2
-        found = cut(found.unionAll(links(classes, least, overlap=overlap, **options)).distinct())
+        every = cut(every.unionAll(links(classes, least, overlap=overlap, **options)).distinct())
+    found = every.where("not tree").select("a", "b")
     both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counted = classes.select(F.col("id").alias("k"), "n")
-    partners = both.join(counted, F.col("b") == F.col("k")).groupBy("a").agg(F.sum("n").alias("partners"))
-    comps = components(found).withColumnRenamed("id", "c")
+    # classes of several equal vectors are few, and only they count more than one
+    several = classes.where("n > 1").select(F.col("id").alias("k"), (F.col("n") - 1).alias("more"))
+    more = both.join(several, F.col("b") == F.col("k")).select("a", F.col("more").alias("n"))
+    partners = both.groupBy("a").agg(F.count(F.lit(1)).alias("n")).unionAll(more.groupBy("a").agg(F.sum("n").alias("n"))).groupBy("a").agg(F.sum("n").alias("partners"))
+    comps = components(every.where("tree").select("a", "b")).withColumnRenamed("id", "c")
     named = classes.join(partners, F.col("id") == F.col("a"), "left").join(comps, F.col("id") == F.col("c"), "left")
     named = named.select(F.col("v").alias("w"), (F.col("n") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     met = rows.join(named, F.col("ok") & (F.col("v") == F.col("w")), "left")
