@@ -8,7 +8,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 from .components import components
 from .simhash import spanning as span
 
@@ -18,6 +18,8 @@ NEAR_POOL, FAR_POOL = 40, 24
 ALPHA = 1.2
 #: Candidates that a search keeps while it walks.
 BEAM = 24
+#: Rows of a block in exact comparisons.
+BLOCK = 1024
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -83,17 +85,17 @@ def assigned(reps: DataFrame, centers: dict[int, np.ndarray], overlap: int) -> D
     return reps.select("id", "v").mapInArrow(run, "shard long, id long, v array<float>")
 
 
-def _rows_of_shards(batches):
-    """Record batches of whole shards from batches sorted by shard."""
+def _rows_of_shards(batches, keys: int = 1):
+    """Record batches of whole shards from batches sorted by shard, which the first `keys` columns name."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        shard = batch.column(0).to_numpy(zero_copy_only=False)
-        edges = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        if not batch.num_rows:
+            continue
+        by = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        edges = [0, *(np.flatnonzero(np.any([b[1:] != b[:-1] for b in by], 0)) + 1).tolist(), batch.num_rows]
         for i, j in zip(edges, edges[1:], strict=False):
-            if i == j:
-                continue
             part = batch.slice(i, j - i)
-            if held and held[-1].column(0)[0].as_py() != int(shard[i]):
+            if held and any(held[-1].column(k)[0].as_py() != b[i] for k, b in enumerate(by)):
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held = []
             held.append(part)
@@ -227,8 +229,8 @@ def graph(shards: DataFrame) -> DataFrame:
 
 
 def links(reps: DataFrame, least: float = 0.95, shard_rows: int = 1000, overlap: int = 3, max_sample: int = 20_000, max_shards: int = 4000) -> DataFrame:
-    """Distinct links (a, b), a < b, of reps(id, v) that the graph's searches find, verified in double precision; and, with
-    tree set, pairs that connect what a task's links connect, as few as that takes.
+    """Pairs (a, b) of reps(id, v) that connect what the links that the graph's searches find connect, each task's as few
+    as that takes. The links are verified in double precision.
 
     Centroids come from a bounded sample; each vector lies in its `overlap` nearest shards. A shard that turns out larger
     than four times `shard_rows` has its centroid replaced by several, from a sample of its own rows, in up to three rounds
@@ -269,7 +271,7 @@ def links(reps: DataFrame, least: float = 0.95, shard_rows: int = 1000, overlap:
             a = np.repeat(np.arange(n), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
             ends = lists.flatten().to_numpy(zero_copy_only=False)
             at = np.minimum(np.searchsorted(ids, ends), n - 1)
-            own = ids[at] == ends  # edges to rows of other shards lead nowhere here
+            own = ids[at] == ends  # edges to rows of other shards lead nowhere here; counted() compares across shards
             near = padded(a[own], at[own], n, 4 * (NEAR_EDGES + FAR_EDGES))
             low = x.astype(np.float32)
             medoid = int((low @ low.mean(0)).argmax())
@@ -280,13 +282,78 @@ def links(reps: DataFrame, least: float = 0.95, shard_rows: int = 1000, overlap:
                     sure = np.einsum("id,id->i", x[s], x[t]) >= least
                     s, t = s[sure], t[sure]
                     a, b = span(s, t, ids)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.minimum(ids[s], ids[t]), b]), pa.array(np.r_[np.maximum(ids[s], ids[t]), a]), pa.array(np.arange(len(s) + len(a)) >= len(s))], names=["a", "b", "tree"])
+                    yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(a)], names=["a", "b"])
 
-    return whole.mapInArrow(run, "a long, b long, tree boolean").distinct()
+    return whole.mapInArrow(run, "a long, b long").distinct()
+
+
+def alike(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Matrix of whether the unit vectors x and y are at least `least` alike; what single precision can't tell is taken in double."""
+    like = x.astype(np.float32) @ y.astype(np.float32).T
+    out = like >= least
+    i, j = np.nonzero(np.abs(like - least) < 1e-4)
+    for k in range(0, len(i), 1 << 16):
+        a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+        out[a, b] = np.einsum("id,id->i", x[a], y[b]) >= least
+    return out
+
+
+def compared(members: DataFrame, least: float) -> DataFrame:
+    """Every two members(id, v, n, component) of a component compared: rows (a, null, links, partners) of what a vector has
+    in a pair of blocks, partners counting each n times, and rows (a, b, 0, 0) that connect what the links connect.
+
+    A component of more than BLOCK rows is dealt by hash into blocks, which meet two by two, so that no task holds more
+    than two blocks at a time and links are counted where they are found.
+    """
+    sizes = cut(members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")).where("parts > 1"))
+    dealt = members.join(small(sizes.withColumnRenamed("component", "c_")), F.col("component") == F.col("c_"), "left")
+    dealt = dealt.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("id", F.lit("block")), F.col("parts")))
+    met = dealt.select("component", "part", "id", "v", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+    met = met.select("component", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "id", "v", "n")
+    met = met.repartition("component", "p", "q").sortWithinPartitions("component", "p", "q", "part", "id")
+
+    def run(batches):
+        for unit_ in _rows_of_shards(batches, 3):
+            part, ids, n = (unit_.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 6))
+            x = unit(matrix(unit_.column(5)))
+            p, q = unit_.column(1)[0].as_py(), unit_.column(2)[0].as_py()
+            left = np.flatnonzero(part == p)
+            right = left if p == q else np.flatnonzero(part == q)
+            links_, partners, a, b = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), [], []
+            for i in range(0, len(left), BLOCK):
+                at = left[i : i + BLOCK]
+                hit = alike(x[at], x[right], least)
+                hit &= at[:, None] != right
+                links_[at] += hit.sum(1)
+                partners[at] += hit @ n[right]
+                if p != q:
+                    links_[right] += hit.sum(0)
+                    partners[right] += n[at] @ hit
+                s, t = np.nonzero(hit)
+                s, t = span(at[s], right[t], ids)
+                a.append(t), b.append(s)
+            seen = np.flatnonzero(links_)
+            a, b = np.concatenate(a or [ids[:0]]), np.concatenate(b or [ids[:0]])
+            ends = pa.array(np.r_[np.zeros(len(seen), np.int64), b], mask=np.arange(len(seen) + len(b)) < len(seen))
+            none = np.zeros(len(b), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[ids[seen], a]), ends, pa.array(np.r_[links_[seen], none]), pa.array(np.r_[partners[seen], none])], names=["a", "b", "links", "partners"])
+
+    return met.mapInArrow(run, "a long, b long, links long, partners long")
+
+
+def counted(classes: DataFrame, found: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(id, component) of the ids in found(a, b), and (a, links, partners): all links inside a component, across shards."""
+    comps = cut(components(found))
+    members = classes.join(comps.withColumnRenamed("id", "k"), F.col("id") == F.col("k")).select("id", "v", "n", "component")
+    return comps, _summed(compared(members, least))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return cut(rows.where("b is null").groupBy("a").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners")))
 
 
 def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int = 400) -> float:
-    """Recall: the share of the links of at most so many sampled vectors, by brute force over all rows, that were found."""
+    """Recall: the share of the links of at most so many sampled vectors, by brute force over all rows, that found(a, links) counts."""
     asked = sample(reps, queries, "audit").collect()
     by_dim = {d: ([r.id for r in asked if len(r.v) == d], unit(np.array([r.v for r in asked if len(r.v) == d]))) for d in {len(r.v) for r in asked}}
     shared = reps.sparkSession.sparkContext.broadcast(by_dim)
@@ -299,13 +366,12 @@ def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int =
                 if not part.num_rows:
                     continue
                 ids = part.column(0).to_numpy(zero_copy_only=False)
-                i, j = np.nonzero(unit(matrix(part.column(1))) @ y.T >= least)
-                a, b = ids[i], np.array(qs)[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[a != b]), pa.array(np.maximum(a, b)[a != b])], names=["a", "b"])
+                hit = alike(unit(matrix(part.column(1))), y, least) & (ids[:, None] != np.array(qs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(qs)), pa.array(hit.sum(0))], names=["q", "n"])
 
-    true = cut(reps.select("id", "v").mapInArrow(run, "a long, b long").distinct())
-    n = true.count()
-    return 1.0 if not n else true.join(found.select("a", "b"), ["a", "b"], "left_semi").count() / n
+    true = reps.select("id", "v").mapInArrow(run, "q long, n long").groupBy("q").agg(F.sum("n").alias("n"))
+    n, got = true.join(found, F.col("q") == F.col("a"), "left").agg(F.sum("n"), F.sum("links")).first()
+    return (got or 0) / n if n else 1.0
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9, id_column: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
@@ -313,26 +379,28 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do those without a
     vec_id; vectors of different dimensions aren't compared. Equal vectors are one class from the start, and their links
-    among themselves are counted, not listed. If the audited recall is below `recall`, the graph is built again with
-    wider overlaps, twice at most, and all links found count. An empty table gives no rows.
+    among themselves are counted, not listed. The graph's searches give the components; inside each, blocks of its members
+    are compared exactly, so n_links doesn't depend on shards. If the audited recall is below `recall`, the graph is built
+    again with wider overlaps, twice at most, and all links found count; if it is still below, all vectors of a dimension
+    are compared block by block. An empty table gives no rows.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
     rows = cut(rows.withColumn("ok", valid(F.col("v")) & F.col("vec_id").isNotNull()))
     classes = cut(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")))
     every = cut(links(classes, least, **options))
+    comps, partners = counted(classes, every, least)
     overlap = options.pop("overlap", 3)
     for _ in range(2):
-        if audit(classes, every.where("not tree"), least) >= recall:
+        if audit(classes, partners, least) >= recall:
             break
         overlap *= 2
         every = cut(every.unionAll(links(classes, least, overlap=overlap, **options)).distinct())
-    found = every.where("not tree").select("a", "b")
-    both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # classes of several equal vectors are few, and only they count more than one
-    several = classes.where("n > 1").select(F.col("id").alias("k"), (F.col("n") - 1).alias("more"))
-    more = both.join(several, F.col("b") == F.col("k")).select("a", F.col("more").alias("n"))
-    partners = both.groupBy("a").agg(F.count(F.lit(1)).alias("n")).unionAll(more.groupBy("a").agg(F.sum("n").alias("n"))).groupBy("a").agg(F.sum("n").alias("partners"))
-    comps = components(every.where("tree").select("a", "b")).withColumnRenamed("id", "c")
+        comps, partners = counted(classes, every, least)
+    else:
+        if audit(classes, partners, least) < recall:
+            rows_of = cut(compared(classes.select("id", "v", "n", F.size("v").cast("long").alias("component")), least))
+            comps, partners = cut(components(rows_of.where("b is not null").select("a", "b"))), _summed(rows_of)
+    comps = comps.withColumnRenamed("id", "c")
     named = classes.join(partners, F.col("id") == F.col("a"), "left").join(comps, F.col("id") == F.col("c"), "left")
     named = named.select(F.col("v").alias("w"), (F.col("n") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     met = rows.join(named, F.col("ok") & (F.col("v") == F.col("w")), "left")

@@ -478,3 +478,20 @@ def test_splitting_of_large_shards(spark):
     # where small shards miss too much, the audit tells and the overlap grows
     found = vectors.near_duplicates(df, 0.97, shard_rows=60).agg(F.sum("n_links")).first()[0]
     assert 0.9 * true <= found <= true
+
+
+def test_links_across_shards(spark):
+    rng = np.random.default_rng(17)
+    v = np.concatenate([rng.normal(size=(1, 64)) + 0.12 * rng.normal(size=(1500, 64)), rng.normal(size=(1500, 64))]).astype("f4")
+    df = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(v)], "vec_id long, embedding array<float>")
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    true = (u @ u.T >= 0.95).sum(1) - 1
+    assert true.sum() > 1_000_000
+    got = {r.vec_id: r for r in vectors.near_duplicates(df, shard_rows=60).collect()}
+    # a group of 25 times a shard's rows: each of its links counts, wherever the ends lie
+    assert [got[i].n_links for i in range(len(v))] == true.tolist()
+    assert {got[i].component_id for i in range(1500)} == {0}
+    # and where the shards' searches never reach the wanted recall, everything is compared
+    few = df.where("vec_id % 10 = 0")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(few, shard_rows=60, recall=1.1).collect()}
+    assert [got[i] for i in range(0, len(v), 10)] == ((u[::10] @ u[::10].T >= 0.95).sum(1) - 1).tolist()
