@@ -221,6 +221,14 @@ def footprints_overlapping(spark, sf_dir):
     return footprints.overlapping(fx.scenes(spark, sf_dir).where("scene_id < 3000"))
 
 
+@query(f"""WITH {_CENTER}, banded AS (SELECT *, unnest(range(floor(south)::BIGINT, floor(north)::BIGINT + 1)) band FROM center)
+SELECT DISTINCT a.scene_id "first", b.scene_id "second" FROM banded a JOIN banded b ON a.band = b.band AND a.scene_id <> b.scene_id
+AND ((b.west >= a.west AND b.west < a.east) OR (b.east >= a.west AND b.east < a.east)) AND ((b.south >= a.south AND b.south < a.north) OR (b.north >= a.south AND b.north < a.north))""")
+def footprints_overlapping_all(spark, sf_dir):
+    """Pairs of footprints of all scenes, one with a corner in the other."""
+    return footprints.overlapping(fx.scenes(spark, sf_dir))
+
+
 @query(f"""WITH {_CENTER}, spans AS (SELECT scene_id, floor((west + 180) / 360e0 * 64)::BIGINT x1, floor((east + 180) / 360e0 * 64)::BIGINT x2,
 greatest(floor((south + 90) / 180e0 * 64), 0)::BIGINT y1, least(floor((north + 90) / 180e0 * 64), 63)::BIGINT y2 FROM center),
 xs AS (SELECT scene_id, y1, y2, unnest(range(x1, x2 + 1)) x FROM spans)
