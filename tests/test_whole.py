@@ -23,3 +23,12 @@ def test_footprints_of_all_scenes(spark):
         want |= {(ids[i], j) for j in ids[x & y] if j != ids[i]}
     got = QUERIES["footprints_overlapping_all"](spark, SF).collect()
     assert len(got) == len(want) > 10000 and {tuple(r) for r in got} == want
+
+
+def test_zero_suppression_of_all_order_lines(spark):
+    cells = fx.table(spark, SF, "lineitem").select("l_discount").toPandas()["l_discount"].to_numpy()
+    lit = cells[cells >= 0.03]
+    got = QUERIES["zero_suppressed_all"](spark, SF).toPandas()
+    assert got["length"].sum() == len(lit) and abs(got["total"].sum() - lit.sum()) < 1e-2
+    dense = QUERIES["zeros_restored_all"](spark, SF).toPandas()["v"].to_numpy()
+    assert len(dense) == len(cells) and np.array_equal(np.sort(dense), np.sort(np.where(cells < 0.03, 0.0, cells)))
