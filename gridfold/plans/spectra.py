@@ -243,6 +243,14 @@ def cluster_covariance(spark, sf_dir):
     return c.where("covariance is not null").select("cluster", "i", "j", (F.round("covariance", 6) + 0.0).alias("covariance"))
 
 
+@query(f"""WITH {_CENTERS}, l AS (SELECT cluster, id, unnest(range(0, 64)) i, unnest(s) v FROM near) SELECT a.cluster, a.i::INT i, b.i::INT j, round(covar_samp(a.v, b.v), 6) + 0e0 covariance
+FROM l a JOIN l b ON a.id = b.id AND a.i <= b.i GROUP BY ALL HAVING count(*) > 1""")
+def cluster_covariance_all(spark, sf_dir):
+    """Covariance of all bands within each cluster."""
+    c = spectral.covariance(_assigned(spark, sf_dir)[0])
+    return c.where("covariance is not null").select("cluster", "i", "j", (F.round("covariance", 6) + 0.0).alias("covariance"))
+
+
 @query()
 def significance(spark, sf_dir):
     """Distance of pixels from their centres in deviations, with the seeds and outliers that follow."""

@@ -5,6 +5,7 @@ import numpy as np
 from gridfold.operators import footprints
 from gridfold.plans import fixtures as fx
 from gridfold.plans.catalog import QUERIES
+from gridfold.plans.spectra import _assigned
 
 SF = "/root/testdata/sf0.01"
 
@@ -32,3 +33,16 @@ def test_zero_suppression_of_all_order_lines(spark):
     assert got["length"].sum() == len(lit) and abs(got["total"].sum() - lit.sum()) < 1e-2
     dense = QUERIES["zeros_restored_all"](spark, SF).toPandas()["v"].to_numpy()
     assert len(dense) == len(cells) and np.array_equal(np.sort(dense), np.sort(np.where(cells < 0.03, 0.0, cells)))
+
+
+def test_covariance_of_all_bands(spark):
+    assigned = _assigned(spark, SF)[0].select("cluster", "spectrum").collect()
+    got = {(r.cluster, r.i, r.j): r.covariance for r in QUERIES["cluster_covariance_all"](spark, SF).collect()}
+    several = 0
+    for cluster in {r.cluster for r in assigned}:
+        x = np.array([r.spectrum for r in assigned if r.cluster == cluster])
+        if len(x) > 1:
+            several += 1
+            want = np.cov(x.T)
+            assert all(abs(got[cluster, i, j] - want[i, j]) < 2e-6 for i in range(64) for j in range(i, 64))
+    assert len(got) == several * 2080 > 0
