@@ -112,6 +112,16 @@ def sun_correction(spark, sf_dir):
     return o.select(F.col("o_orderkey").alias("id"), day.alias("day"), F.round(rad.earth_sun_distance(day), 8).alias("distance"), F.round(rad.sun_corrected(F.col("o_totalprice"), day, 20 + F.col("o_orderkey") % 60), 2).alias("corrected"))
 
 
+@query(f"""WITH t AS (SELECT a::INT a, x::DOUBLE x FROM (VALUES {_SUN}) v(a, x)), s AS (SELECT a, x, lead(a) OVER (ORDER BY a) b, lead(x) OVER (ORDER BY a) y FROM t),
+o AS (SELECT o_orderkey id, dayofyear(o_orderdate) d, o_totalprice v, 20 + o_orderkey % 60 e FROM orders)
+SELECT id, d::INT "day", round(x + (d - a) * ((y - x) / (b - a)), 8) distance, round(pi() * pow(x + (d - a) * ((y - x) / (b - a)), 2) * v / sin(radians(e)), 2) corrected FROM o JOIN s ON d >= a AND (d < b OR (d = 366 AND b = 366))""")
+def sun_correction_all(spark, sf_dir):
+    """As sun_correction, with the 366th days of leap years."""
+    day = F.dayofyear("o_orderdate")
+    o = fx.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"), day.alias("day"), F.round(rad.earth_sun_distance(day), 8).alias("distance"), F.round(rad.sun_corrected(F.col("o_totalprice"), day, 20 + F.col("o_orderkey") % 60), 2).alias("corrected"))
+
+
 @query("""SELECT o_orderkey id, (floor(epoch(o_orderdate))::BIGINT // 86400) * 86400 + 3661 ts FROM orders""")
 def parsed_times(spark, sf_dir):
     """Times from 'year day-of-year h:m:s'."""

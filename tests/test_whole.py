@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from gridfold.functions.radiometry import EARTH_SUN
 from gridfold.operators import footprints
 from gridfold.plans import fixtures as fx
 from gridfold.plans.catalog import QUERIES
@@ -46,3 +47,10 @@ def test_covariance_of_all_bands(spark):
             want = np.cov(x.T)
             assert all(abs(got[cluster, i, j] - want[i, j]) < 2e-6 for i in range(64) for j in range(i, 64))
     assert len(got) == several * 2080 > 0
+
+
+def test_sun_correction_of_every_day(spark):
+    got = QUERIES["sun_correction_all"](spark, SF).toPandas()
+    assert len(got) == fx.table(spark, SF, "orders").count() and got["corrected"].notna().all()
+    last = got[got["day"] == 366]
+    assert len(last) > 0 and np.allclose(last["distance"], dict(EARTH_SUN)[366], atol=1e-8)
