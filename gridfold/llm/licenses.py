@@ -51,37 +51,66 @@ KNOWN = (
     ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
 )
 
+# Usual titles above whole texts.
+TITLES = {
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD License"),
+}
+TITLED = tuple((name, f"{title}\n{text}") for name, text in KNOWN if "\n" in text for title in TITLES.get(name, ()))
+
+#: Canonical digests of whole texts that are too long for this file, as published with their titles.
+DIGESTS = (
+    ("Apache-2.0", "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GPL-2.0-only", "e95eb1718f9f373d56cc586a5f7d1bfa11668867f6e85e982d2b6108b97d90a1"),
+    ("GPL-3.0-only", "df71f3c423c11bc52456a9775329f1d9a3168a6f071654750b9eb155fb3ec0eb"),
+    ("LGPL-2.1-only", "ede2b00a7c3823a62ef837da1b2e848d4151187ba307a2f23aebaeebbc80bf7c"),
+    ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that states a copyright, behind comment signs.
 COPYRIGHT = r"(^|\n)[ \t*#/;%-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: The same, but not a line of a wrapped sentence about copyright notices, holders and such.
+STATEMENT = COPYRIGHT.replace("copyright|", r"copyright(?![ \t]+(?:notices?|holders?|owners?|laws?|licen[sc]\w*|statements?|disclaimers?|interests?|protection|permissions?|treaty|and|or|in|to|is|are|as|of|on|that|which)\b)|")
 #: White space, ASCII punctuation and the typographic quotes, dashes and dots.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…•]+"
 
 
 def canonical(text: Column) -> Column:
-    """The text with ASCII letters lowered, copyright lines dropped, all punctuation and white space one blank, and spellings unified."""
-    out = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT, "$1")
+    """The text with ASCII letters lowered, lines that state a copyright dropped, all punctuation and white space one blank, and spellings unified."""
+    out = F.regexp_replace(F.translate(text, UPPER, LOWER), STATEMENT, "$1")
     out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, BETWEEN, " ")), F.lit(" "))
     for spelling, same in SPELLINGS:
         out = F.replace(out, F.lit(spelling), F.lit(same))
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
-    """(license, digest) of the known texts; a digest that two names share goes to the first by name."""
+def known_digests(spark: SparkSession, known: tuple = KNOWN + TITLED, digests: tuple = DIGESTS) -> DataFrame:
+    """(license, digest) of the known texts and digests; a digest that two names share goes to the first by name."""
     rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in known])))
-    return rows.groupBy(F.sha2(canonical(F.col("text")), 256).alias("known")).agg(F.min("license").alias("license"))
+    rows = rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("known"))
+    if digests:
+        rows = rows.unionAll(spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("license"), F.lit(d).alias("known")) for n, d in digests]))))
+    return rows.groupBy("known").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, known: tuple = KNOWN) -> DataFrame:
+def scan(docs: DataFrame, known: tuple = KNOWN + TITLED) -> DataFrame:
     """A row a document: doc_id, digest (of the canonical whole text), license (whose whole text it is, or null),
     n_notices (lines that are a known text by themselves) and notices (their licences, sorted, comma-joined).
 
-    The known texts are a fixed list, so the hash join broadcasts them. Lines are looked at if they hold "licen", which
-    every known one-line text does. Null texts count as empty, whose digest is no licence's; an empty table gives no rows.
+    The known texts are a fixed list, so the hash join broadcasts them. If every known one-line text holds
+    "licen", only lines that do are looked at. Null texts count as empty, whose digest is no licence's; an empty table gives no rows.
     """
     digests = known_digests(docs.sparkSession, known)
-    lines = F.filter(F.split(F.col("text"), "\n"), lambda line: F.contains(F.translate(line, UPPER, LOWER), F.lit("licen")))
+    lines = F.split(F.col("text"), "\n")
+    if all("licen" in t.lower() for _, t in known if "\n" not in t):
+        lines = F.filter(lines, lambda line: F.contains(F.translate(line, UPPER, LOWER), F.lit("licen")))
     names = [F.struct(F.sha2(canonical(F.lit(t)), 256).alias("known"), F.lit(name).alias("license")) for name, t in known if "\n" not in t]
     one_line = F.map_from_entries(F.array(*names)) if names else F.create_map().cast("map<string,string>")
     found = F.transform(lines, lambda line: F.element_at(one_line, F.sha2(canonical(line), 256)))

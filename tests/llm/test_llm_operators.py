@@ -2,6 +2,7 @@
 and extra columns with clashing names."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -495,3 +496,21 @@ def test_links_across_shards(spark):
     few = df.where("vec_id % 10 = 0")
     got = {r.vec_id: r.n_links for r in vectors.near_duplicates(few, shard_rows=60, recall=1.1).collect()}
     assert [got[i] for i in range(0, len(v), 10)] == ((u[::10] @ u[::10].T >= 0.95).sum(1) - 1).tolist()
+
+
+def test_licenses_as_published(spark):
+    isc = dict(licenses.KNOWN)["ISC"]
+    shown = "ISC License\n\nCopyright (c) 2020 Someone\n\n" + isc.replace("provided that the above copyright", "provided that the above\ncopyright")
+    bsd = "BSD 2-Clause License\n\nCopyright 2020, Someone\nAll rights reserved.\n\n" + dict(licenses.KNOWN)["BSD-2-Clause"].replace("SHALL THE COPYRIGHT", "SHALL THE\nCOPYRIGHT")
+    texts, want = [shown, bsd, "Copyright Someone Else\nhello"], ["ISC", "BSD-2-Clause", None]
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-3.0-only", "GPL-3"), ("LGPL-2.1-only", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")):
+        path = f"/usr/share/common-licenses/{file}"
+        if os.path.exists(path):
+            with open(path) as f:
+                texts.append(f.read()), want.append(name)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [got[i].license for i in range(len(texts))] == want
+    assert got[2].digest == hashlib.sha256(b"hello").hexdigest()
+    # lines are met by whatever list is passed in
+    assert {r.doc_id: r.notices for r in licenses.scan(df, (("X", "Hello!"),)).collect()}[2] == "X"
