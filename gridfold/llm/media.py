@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty
+from .common import mapped, slices, texts
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Samples of a row; a payload is padded to whole rows.
@@ -163,7 +163,7 @@ def media_columns(docs: DataFrame) -> DataFrame:
                 n, media, back, dct = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(media, pa.binary()), pa.array(back, pa.binary()), pa.array(dct, pa.binary())], names=["doc_id", "n_bytes", "media", "payload", "dct_hash"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, SCHEMA)
+    return mapped(texts(docs), run, SCHEMA)
 
 
 def digest(docs: DataFrame) -> DataFrame:

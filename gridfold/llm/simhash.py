@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, slices, text_or_empty
+from .common import cut, mapped, slices, texts
 from .components import components
 
 BITS = 64
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
                 fps = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return mapped(texts(docs), run, "doc_id long, fp long")
 
 
 def ball(fp: Column, block: int, width: int, radius: int) -> Column:
@@ -187,7 +187,7 @@ def links(classes: DataFrame, most: int = 4, blocks: int = 2) -> DataFrame:
             yield out(held)
 
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    return dealt.mapInArrow(run, schema).distinct()
+    return mapped(dealt, run, schema).distinct()
 
 
 def near_duplicates(docs: DataFrame, most: int = 4, blocks: int = 2, words: int = 4) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty, written
+from .common import mapped, slices, text_or_empty, written
 
 WINDOW = 200
 GRAM = 80
@@ -259,7 +259,7 @@ def find_anchors(rows: DataFrame) -> DataFrame:
                 own = mixed(meta.view(np.uint64) ^ mixed(np.arange(len(row), dtype=np.uint64) ^ gram.view(np.uint64))).view(np.int64)
                 yield pa.RecordBatch.from_arrays([doc_id, part.column("tag").take(pa.array(row)), pa.array(meta), pa.array(np.where(later, own, gram)), pa.array(around), pa.array(again)], names=["doc_id", "tag", "meta", "key", "around", "again"])
 
-    return rows.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, meta long, key long, around long, again boolean")
+    return mapped(rows.select("doc_id", "tag", "text"), run, "doc_id long, tag long, meta long, key long, around long, again boolean")
 
 
 def shared_anchors(found: DataFrame) -> DataFrame:
@@ -303,7 +303,7 @@ def surroundings(rows: DataFrame, asked: DataFrame) -> DataFrame:
                         names=["gram", "doc_id", "tag", "meta", "settled", "left", "around"],
                     )
 
-    return met.mapInArrow(run, "gram long, doc_id long, tag long, meta long, settled boolean, left int, around binary")
+    return mapped(met, run, "gram long, doc_id long, tag long, meta long, settled boolean, left int, around binary")
 
 
 SPANS = "doc_id long, tag long, start long, end long, window long"
@@ -389,7 +389,7 @@ def sorted_spans(around: DataFrame, most: int = MOST) -> DataFrame:
             if table.num_rows:
                 yield solve(table)
 
-    return dealt.mapInArrow(run, SPANS)
+    return mapped(dealt, run, SPANS)
 
 
 def counted_spans(spans: DataFrame) -> DataFrame:
@@ -449,7 +449,7 @@ def dedup(docs: DataFrame, most: int = MOST) -> DataFrame:
                 kept, *counts = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.binary()), *[pa.array(c, pa.int64()) for c in counts]], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return met.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return mapped(met, run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
 def digest(docs: DataFrame, most: int = MOST) -> DataFrame:

@@ -8,20 +8,25 @@ trees see densities as on new texts.
 from __future__ import annotations
 
 import math
+import operator
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, text_or_empty
+from .common import bounded_batches, cut, give_back, mapped, slices, text_or_empty, texts
 
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Letters with digits or signs inside, as in sh1t or f*ck.
 MASKED = re.compile(r"\b[^\W\d_]+[@$!*0-9]+[^\W\d_]+")
+#: What all of those have inside.
+MASKING = re.compile(r"(?<=[^\W\d_])[@$!*0-9]+(?=[^\W\d_])")
 STRETCHED = re.compile(r"([^\W\d_])\1\1+")
 # Second-person words of English, German, French and Spanish.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
@@ -38,12 +43,15 @@ def held_out(doc_id: str = "doc_id"):
 class Weights(dict):
     """Weight of each word by the lexicon, remembered; forgotten when there are too many."""
 
-    def __init__(self, words: dict[str, float], starts: dict[str, float], most: int = 300_000):
+    def __init__(self, words: dict[str, float], starts: dict[str, float], most: int = 100_000):
         super().__init__()
         self.words, self.starts, self.most = words, starts, most
+        self.heads = {s[: BEGINNINGS[0]] for s in starts}
 
     def __missing__(self, word: str) -> float:
-        w = max([self.words.get(word, 0.0), *(self.starts.get(word[:n], 0.0) for n in BEGINNINGS if len(word) >= n)])
+        w = self.words.get(word, 0.0)
+        if word[: BEGINNINGS[0]] in self.heads:
+            w = max([w, *(self.starts.get(word[:n], 0.0) for n in BEGINNINGS if len(word) >= n)])
         if len(self) >= self.most:
             self.clear()
         self[word] = w
@@ -53,23 +61,34 @@ class Weights(dict):
 MASKS = str.maketrans("0134578@$!*", "oieastbasi.")
 
 
+def stretched(text: str) -> int:
+    """Runs of three or more equal letters. Few texts have any, which a comparison of neighbours tells."""
+    a = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    same = a[1:] == a[:-1]
+    return len(STRETCHED.findall(text)) if (same[1:] & same[:-1]).any() else 0
+
+
 def features(text: str, weights: Weights) -> list[float]:
+    """The dense features of a whole text, in the order of FEATURES."""
     words = TOKEN.findall(text)
     n, chars = len(words) or 1, len(text) or 1
-    lower = TOKEN.findall(text.lower())
+    # lowering may change what a word is only where it changes the length, as for a dotted capital I
+    low = text.lower()
+    lower = list(map(str.lower, words)) if len(low) == len(text) else TOKEN.findall(low)
     score = list(map(weights.__getitem__, lower))
     hits = [i for i, w in enumerate(score) if w]
     you = [i for i, w in enumerate(lower) if w in SECOND_PERSON]
     at = set(you)
     near = sum(any(j in at for j in range(i - NEAR, i + NEAR + 1)) for i in hits) if at else 0
-    masked = MASKED.findall(text)
+    masked = MASKED.findall(text) if MASKING.search(text) else []
     letters = sum(map(len, words))
-    shouted = sum(map(str.isupper, words))
+    raised = [w for w, v in zip(words, lower, strict=True) if w != v] if len(words) == len(lower) else words
+    shouted = sum(map(str.isupper, raised))
     signs = chars - letters - text.count(" ") - text.count("\n")
     return [
-        float(len(hits)), len(hits) / n, sum(score), max(score, default=0.0), float(near), len(you) / n, shouted / n, sum(map(str.isupper, (w[0] for w in words))) / n,
+        float(len(hits)), len(hits) / n, sum(score), max(score, default=0.0), float(near), len(you) / n, shouted / n, sum([w[0].isupper() for w in raised]) / n,
         text.count("!") / chars, sum(map(text.count, ".,;:?")) / chars, signs / chars, len(masked) / n, float(sum(weights[m.lower().translate(MASKS)] > 0 for m in masked)),
-        len(STRETCHED.findall(text)) / n, sum(map(text.count, "0123456789")) / chars, math.log1p(len(words)),
+        stretched(text) / n, sum(map(text.count, "0123456789")) / chars, math.log1p(len(words)),
     ]
 
 
@@ -158,34 +177,33 @@ class Model:
     levels: np.ndarray
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Calibrated chance of label 1. A little of the uncalibrated one keeps texts of one step in order."""
+        """Calibrated chance of label 1: the isotonic levels, on straight lines between their pools' mean margins, and a fiftieth
+        part of the uncalibrated chance, which keeps the texts of one level in order."""
         margin = self.trees.margin(x)
         step = np.interp(margin, self.knots, self.levels)
         return np.clip(0.98 * step + 0.02 / (1 + np.exp(-margin)), 0.0, 1.0)
 
 
-def lexicon(counts: dict, toxic: int, clean: int, most: int, support: int, ratio: float) -> tuple[dict, dict]:
-    """Words and beginnings whose smoothed rate among toxic texts is `ratio` times that among others, the strongest first.
+def strength(t, c, toxic: int, clean: int, log, sqrt):
+    """Logarithm of how much more often toxic texts have a key than others, lowered by one and a half of its standard errors, so
+    that chance words don't pass. For numbers and for columns, which bring their own log and sqrt."""
+    return log((t + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1)) - 1.5 * sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
 
-    The logarithm of the ratio is lowered by one and a half of its standard errors, so that chance words don't pass.
-    """
-    scored = []
-    for key, (t, c) in counts.items():
-        weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) - 1.5 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-        if t >= support and weight >= math.log(ratio):
-            scored.append((weight, t, key))
-    scored.sort(key=lambda r: (-r[0] * math.log1p(r[1]), r[2]))
+
+def lexicon(counts: dict, toxic: int, clean: int, support: int, ratio: float) -> tuple[dict, dict]:
+    """Words and beginnings in at least `support` toxic texts whose strength is log(ratio) or more, with it as their weight."""
     words, starts = {}, {}
-    for weight, _, key in scored[:most]:
-        (starts if key[0] == "^" else words)[key[1:]] = weight
+    for key, (t, c) in counts.items():
+        if t >= support and (weight := strength(t, c, toxic, clean, math.log, math.sqrt)) >= math.log(ratio):
+            (starts if key[0] == "^" else words)[key[1:]] = weight
     return words, starts
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, most_words: int = 4_000, support: int = 3, ratio: float = 4.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, support: int = 3, ratio: float = 4.0) -> Model:
     """Learn from at most about max_rows labelled documents, the same at each run; held-out ones are never read.
 
-    The sample is the labelled rows whose hash of doc_id falls below the share max_rows / (labelled rows). What reaches
-    the driver is bounded by max_rows (dense features) and most_words (lexicon candidates).
+    The sample is the labelled rows whose hash of doc_id falls below the share max_rows / (labelled rows). What reaches the
+    driver are its dense features, and those of its words that pass for the lexicon or for a fold's, all of them.
     """
     spark = docs.sparkSession
     known = labels.where(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -211,20 +229,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, most_words:
         keys = list(seen)
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["key", "fold", "toxic", "n"])
 
-    by = rows.select("text", "toxic", "fold").mapInArrow(count, "key string, fold int, toxic int, n long")
+    by = mapped(rows.select("text", "toxic", "fold"), count, "key string, fold int, toxic int, n long")
     t = F.sum(F.when(F.col("toxic") > 0, F.col("n")).otherwise(0))
     c = F.sum(F.when(F.col("toxic") <= 0, F.col("n")).otherwise(0))
     folded = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") > 0), F.col("n")).otherwise(0)).alias(f"t{f}") for f in range(FOLDS)]
     folded += [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") <= 0), F.col("n")).otherwise(0)).alias(f"c{f}") for f in range(FOLDS)]
     docs_of = {(r.fold, int(r.toxic > 0)): r.n for r in rows.groupBy("fold", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = [sum(n for (_, y), n in docs_of.items() if y == k) for k in (0, 1)]
-    # rate of toxic texts with the key against that of others; keys that pass for no fold's lexicon are left out
-    lift = (F.col("t") + 0.5) / (total[1] + 1) / ((F.col("c") + 0.5) / (total[0] + 1))
-    candidates = by.groupBy("key").agg(t.alias("t"), c.alias("c"), *folded).where((F.col("t") >= support) & (lift >= ratio / 2)).orderBy(F.desc(F.log(lift) * F.log1p("t")), "key").limit(2 * most_words).collect()
+    # only keys that pass, by all rows or without one of the folds, reach the driver
+    passes = [(F.col("t"), F.col("c"), total[1], total[0])]
+    passes += [(F.col("t") - F.col(f"t{f}"), F.col("c") - F.col(f"c{f}"), total[1] - docs_of.get((f, 1), 0), total[0] - docs_of.get((f, 0), 0)) for f in range(FOLDS)]
+    some = reduce(operator.or_, [(a >= support) & (strength(a, b, *n, F.log, F.sqrt) >= math.log(ratio) - 1e-9) for a, b, *n in passes])
+    candidates = by.groupBy("key").agg(t.alias("t"), c.alias("c"), *folded).where(some).collect()
 
     def without(f: int) -> tuple[dict, dict]:
         counts = {r.key: (r.t - (r[f"t{f}"] if f >= 0 else 0), r.c - (r[f"c{f}"] if f >= 0 else 0)) for r in candidates}
-        return lexicon(counts, total[1] - docs_of.get((f, 1), 0), total[0] - docs_of.get((f, 0), 0), most_words, support, ratio)
+        return lexicon(counts, total[1] - docs_of.get((f, 1), 0), total[0] - docs_of.get((f, 0), 0), support, ratio)
 
     folds = spark.sparkContext.broadcast([without(f) for f in range(FOLDS)])
 
@@ -234,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, most_words:
             x = [features(text, weights[f]) for text, f in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), batch.column("fold"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "toxic", "fold", "x"])
 
-    got = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic", "fold").mapInArrow(dense, "doc_id long, toxic int, fold int, x array<double>").collect()
+    got = mapped(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic", "fold"), dense, "doc_id long, toxic int, fold int, x array<double>").collect()
     words, starts = without(-1)
     got.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.x))
     if not got or not total[1] or not total[0]:  # one class or no labels: its share is all there is to say
@@ -251,7 +271,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, most_words:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of each whole text. Null texts count as empty; equal texts get equal scores."""
+    """doc_id and score of each whole text. Null texts count as empty; equal texts get equal scores; repeated rows each get
+    theirs; an empty table gives no rows. Only doc_id and text are read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -262,23 +283,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 x = np.array([features(t, weights) for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(x), pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, score double")
+    return mapped(texts(docs), run, "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """docs without the rows that score threshold or more, in its own columns. Rows with null texts are scored as empty."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    """docs without the rows that score threshold or more, in its own columns. Rows with null texts are scored as empty; repeated
+    rows stay or go together. Texts alone go to Python, whose answer is a score a row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         weights = Weights(model.words, model.starts)
-        for batch in batches:
-            for part in slices(batch, part_name(batch, at)):
-                x = np.array([features(t or "", weights) for t in part.column(at).to_pylist()])
-                yield part.filter(pa.array(model.score(x) < threshold))
-
-    return docs.mapInArrow(run, docs.schema)
-
-
-def part_name(batch: pa.RecordBatch, at: int) -> str:
-    return batch.schema.names[at]
+        for column in columns:
+            rows = pa.RecordBatch.from_arrays([column], names=["text"])
+            parts = [model.score(np.array([features(t or "", weights) for t in part.column(0).to_pylist()])) for part in slices(rows)]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
+        give_back()
+
+    bounded_batches(docs.sparkSession)
+    return docs.where(scored(F.col("text")) < threshold)

@@ -1,6 +1,7 @@
 """The operators on small tables, against brute force, with nulls, empty and long texts, ties, repeated rows, empty tables
 and extra columns with clashing names."""
 
+import bisect
 import hashlib
 import os
 import random
@@ -306,23 +307,50 @@ def test_suffix_sort():
     assert (s.verified(x, y, np.full(300, 100)) == common).all()
 
 
-def test_packing_plan():
+def best_fit_decreasing(lengths, capacity=4096):
+    rooms, n = [], 0
+    for length in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(rooms, length)
+        n += k == len(rooms)
+        room = rooms.pop(k) if k < len(rooms) else capacity
+        if room > length:
+            bisect.insort(rooms, room - length)
+    return n
+
+
+def mixes():
     rng = np.random.default_rng(11)
-    for h in ({}, {4096: 5}, {1: 1}, {3000: 10, 1096: 5, 2048: 7, 1: 3}, dict(Counter(np.clip(rng.lognormal(6.3, 1.1, 5000).astype(int), 1, 4096).tolist()))):
-        seq, ranks = defaultdict(list), defaultdict(set)
-        for n, rank, count, first, offset in packing.plan(h).tolist():
-            for i in range(count):
-                seq[first + i].append((offset, n))
-                assert rank + i not in ranks[n]
-                ranks[n].add(rank + i)
-        assert all(ranks[n] == set(range(c)) for n, c in h.items())
-        for parts in seq.values():
-            at = 0
-            for offset, n in sorted(parts):
-                assert offset == at
-                at += n
-            assert at <= 4096
-        assert len(seq) <= -(-sum(n * c for n, c in h.items()) // 4096) * 1.15 + 1
+    yield "none", []
+    yield "full", [4096] * 5
+    yield "one", [1]
+    yield "few", [3000] * 10 + [1096] * 5 + [2048] * 7 + [1] * 3
+    yield "wide", rng.integers(1500, 4097, 8000)
+    yield "all", rng.integers(1, 4097, 6000)
+    yield "log-normal", np.clip(rng.lognormal(6.3, 1.1, 12000).astype(int), 1, 4096)
+    yield "thirds", rng.integers(1200, 1500, 6000)
+    yield "halves", np.r_[rng.integers(2049, 2800, 3000), rng.integers(300, 1900, 3500)]
+    yield "short", rng.geometric(1 / 300, 9000).clip(1, 4096)
+
+
+@pytest.mark.parametrize("name, lengths", list(mixes()))
+def test_packing_plan(name, lengths):
+    h = dict(Counter(map(int, lengths)))
+    seq, ranks = defaultdict(list), defaultdict(set)
+    for n, rank, count, first, offset in packing.plan(h).tolist():
+        for i in range(count):
+            seq[first + i].append((offset, n))
+            assert rank + i not in ranks[n]
+            ranks[n].add(rank + i)
+    assert all(ranks[n] == set(range(c)) for n, c in h.items())
+    for parts in seq.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 4096
+    assert len(seq) <= best_fit_decreasing(map(int, lengths))
+    if name == "thirds":  # three to a sequence, which best fit doesn't see
+        assert len(seq) < 0.95 * best_fit_decreasing(map(int, lengths))
 
 
 def test_nnls():
@@ -335,7 +363,6 @@ def test_packing(odd, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     want = Counter()
     for r in odd.collect():
         ids = t.encode(r.text or "", add_special_tokens=False).ids + [1]
@@ -356,17 +383,27 @@ def test_packing(odd, empty):
     assert packing.pack(empty, VOCABULARY).count() == 0
 
 
-def test_tokens_in_two_generations():
+@pytest.mark.parametrize("slots", [1 << 20, 256])
+def test_tokens_are_the_tokenizers(slots):
+    """20,000 texts against the plain call; with few slots the table is rebuilt again and again."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     rng = random.Random(13)
-    cache = packing.Pieces(VOCABULARY, most=50)
-    odd_words = ["It's", "don't.", "x1y2", "ΣΑΣ", "<|endoftext|>", "a.b,c!", "***", "été.", "İstanbul,", "\x1cq", " ", "naïve?!", "'s", "ﬁ"]
-    for _ in range(60):
-        text = " ".join(rng.choice(odd_words) if rng.random() < 0.3 else word(rng).title() + rng.choice(["", ".", ",", "!!", "&&&."]) for _ in range(40))
-        assert cache.ids([text.encode()])[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    cache = packing.Pieces(VOCABULARY, slots)
+    odd_words = """It's don't. x1y2 ΣΑΣ <|endoftext|> foo<|endoftext|>bar <|ENDOFTEXT|> <|EndOfText|>x a.b,c! *** été. İstanbul, İ. DİYARBAKIRLİ, naïve?! 's ﬁ été É
+    KK Å. ÿ Œuvre; ß ẞ (word) "word". 日本語。 ١٢ ½ ǅ. ŉ, ΐ! i̇. 're we'll, '' ' l'été 😀 x×y÷z = à'la ,'s""".split() + ["\x1cq", "\u2003", "\u3000字", "\0a", "a\0", "a\0b", "x" * 30 + ".", "é" * 20, "\x85y", "\x0bz", "\ud7ff"]
+    texts = []
+    for k in range(20_000 if slots > 1000 else 2000):
+        if k % 2:
+            texts.append("".join(rng.choice("abcXYZ.,'!?éİΣÉ<|>0129-_\u0301\u0338=  \n\t") for _ in range(rng.randint(0, 25))))
+        else:
+            texts.append(rng.choice([" ", "\n", "  "]).join(rng.choice(odd_words) if rng.random() < 0.4 else word(rng).title() + rng.choice(["", ".", ",", "!!", "&&&.", "'s"]) for _ in range(rng.randint(0, 15))))
+    for i in range(0, len(texts), 500):
+        some = texts[i : i + 500]
+        ids, at = cache.ids([x.encode() for x in some])
+        for x, a, b in zip(some, at, at[1:], strict=False):
+            assert ids[a:b].tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
 def test_mixing(spark, odd, empty):
