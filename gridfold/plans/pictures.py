@@ -74,20 +74,20 @@ def terrain_basins(spark, sf_dir):
     return topology.basins(fx.elevation(spark, sf_dir))
 
 
-_CELLS = "cells AS (SELECT l_orderkey % 10 k, row_number() OVER (PARTITION BY l_orderkey % 10 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 i, CASE WHEN l_discount < 0.03e0 THEN 0 ELSE l_discount END v FROM lineitem WHERE l_orderkey % 100 < 10)"
+_CELLS = "cells AS (SELECT l_orderkey // 100 k, row_number() OVER (PARTITION BY l_orderkey // 100 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount) - 1 i, CASE WHEN l_discount < 0.03e0 THEN 0 ELSE l_discount END v FROM lineitem)"
 
 
 def _cells(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    rows = fx.table(spark, sf_dir, "lineitem").where("l_orderkey % 100 < 10").withColumn("k", F.col("l_orderkey") % 10)
-    order = W.partitionBy("k").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    rows = fx.table(spark, sf_dir, "lineitem").withColumn("k", F.floor(F.col("l_orderkey") / 100))
+    order = W.partitionBy("k").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
     return rows.select("k", (F.row_number().over(order) - 1).cast("long").alias("i"), F.when(F.col("l_discount") < 0.03, 0.0).otherwise(F.col("l_discount")).alias("v"))
 
 
 @query(f"WITH {_CELLS}, z AS (SELECT k, i, v, i - row_number() OVER (PARTITION BY k ORDER BY i) g FROM cells WHERE v <> 0) SELECT k, min(i) \"start\", count(*) length, round(sum(v), 6) total FROM z GROUP BY k, g")
 def zero_suppressed(spark, sf_dir):
-    """Runs of cells that aren't 0, in rows of ten scenes of the catalogue."""
+    """Runs of cells that aren't 0, over all order lines, a hundred orders to a row of cells."""
     made = runs.runs(_cells(spark, sf_dir), ["k"])
     return made.select("k", "start", "length", r6(F.aggregate("strip", F.lit(0.0), lambda s, v: s + v), "total"))
 
@@ -98,30 +98,6 @@ def zeros_restored(spark, sf_dir):
     return runs.dense(runs.runs(cells, ["k"]), cells.groupBy("k").agg(F.count(F.lit(1)).alias("size")), ["k"])
 
 
-_ALL_CELLS = "cells AS (SELECT l_orderkey // 100 k, row_number() OVER (PARTITION BY l_orderkey // 100 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount) - 1 i, CASE WHEN l_discount < 0.03e0 THEN 0 ELSE l_discount END v FROM lineitem)"
-
-
-def _all_cells(spark, sf_dir):
-    from pyspark.sql import Window as W
-
-    rows = fx.table(spark, sf_dir, "lineitem").withColumn("k", F.floor(F.col("l_orderkey") / 100))
-    order = W.partitionBy("k").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
-    return rows.select("k", (F.row_number().over(order) - 1).cast("long").alias("i"), F.when(F.col("l_discount") < 0.03, 0.0).otherwise(F.col("l_discount")).alias("v"))
-
-
-@query(f"WITH {_ALL_CELLS}, z AS (SELECT k, i, v, i - row_number() OVER (PARTITION BY k ORDER BY i) g FROM cells WHERE v <> 0) SELECT k, min(i) \"start\", count(*) length, round(sum(v), 6) total FROM z GROUP BY k, g")
-def zero_suppressed_all(spark, sf_dir):
-    """Runs of cells that aren't 0, over all order lines, a hundred orders to a row of cells."""
-    made = runs.runs(_all_cells(spark, sf_dir), ["k"])
-    return made.select("k", "start", "length", r6(F.aggregate("strip", F.lit(0.0), lambda s, v: s + v), "total"))
-
-
-@query(f"WITH {_ALL_CELLS} SELECT k, i, v::DOUBLE v FROM cells")
-def zeros_restored_all(spark, sf_dir):
-    cells = _all_cells(spark, sf_dir)
-    return runs.dense(runs.runs(cells, ["k"]), cells.groupBy("k").agg(F.count(F.lit(1)).alias("size")), ["k"])
-
-
 @query(f"""WITH {fx.CLUSTERED}, px AS (SELECT long_index x0, lat_index y0, id, (id % 4)::INT x, (id // 4 % 4)::INT y, floor(intensity)::INT % 256 v FROM placed WHERE id % 4 % 2 = 0 AND id // 4 % 4 % 2 = 0)
 SELECT id, 9 AS "depth", x0 >> 1 long_index, y0 >> 1 lat_index, (x / 2 + x0 % 2 * 2)::INT x, (y // 2 + (1 - y0 % 2) * 2)::INT y, v r FROM px""")
 def quarter_pixels(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Queries that take whole tables, where a namesake is narrowed by its SQL."""
+"""Queries of whole tables against other ways to the same figures."""
 
 import numpy as np
 
@@ -23,22 +23,22 @@ def test_footprints_of_all_scenes(spark):
         x = ((west >= west[i]) & (west < east[i])) | ((east >= west[i]) & (east < east[i]))
         y = ((south >= south[i]) & (south < north[i])) | ((north >= south[i]) & (north < north[i]))
         want |= {(ids[i], j) for j in ids[x & y] if j != ids[i]}
-    got = QUERIES["footprints_overlapping_all"](spark, SF).collect()
+    got = QUERIES["footprints_overlapping"](spark, SF).collect()
     assert len(got) == len(want) > 10000 and {tuple(r) for r in got} == want
 
 
 def test_zero_suppression_of_all_order_lines(spark):
     cells = fx.table(spark, SF, "lineitem").select("l_discount").toPandas()["l_discount"].to_numpy()
     lit = cells[cells >= 0.03]
-    got = QUERIES["zero_suppressed_all"](spark, SF).toPandas()
+    got = QUERIES["zero_suppressed"](spark, SF).toPandas()
     assert got["length"].sum() == len(lit) and abs(got["total"].sum() - lit.sum()) < 1e-2
-    dense = QUERIES["zeros_restored_all"](spark, SF).toPandas()["v"].to_numpy()
+    dense = QUERIES["zeros_restored"](spark, SF).toPandas()["v"].to_numpy()
     assert len(dense) == len(cells) and np.array_equal(np.sort(dense), np.sort(np.where(cells < 0.03, 0.0, cells)))
 
 
 def test_covariance_of_all_bands(spark):
     assigned = _assigned(spark, SF)[0].select("cluster", "spectrum").collect()
-    got = {(r.cluster, r.i, r.j): r.covariance for r in QUERIES["cluster_covariance_all"](spark, SF).collect()}
+    got = {(r.cluster, r.i, r.j): r.covariance for r in QUERIES["cluster_covariance"](spark, SF).collect()}
     several = 0
     for cluster in {r.cluster for r in assigned}:
         x = np.array([r.spectrum for r in assigned if r.cluster == cluster])
@@ -50,7 +50,7 @@ def test_covariance_of_all_bands(spark):
 
 
 def test_sun_correction_of_every_day(spark):
-    got = QUERIES["sun_correction_all"](spark, SF).toPandas()
+    got = QUERIES["sun_correction"](spark, SF).toPandas()
     assert len(got) == fx.table(spark, SF, "orders").count() and got["corrected"].notna().all()
     last = got[got["day"] == 366]
     assert len(last) > 0 and np.allclose(last["distance"], dict(EARTH_SUN)[366], atol=1e-8)
