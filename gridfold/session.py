@@ -17,7 +17,7 @@ def session(app: str = "gridfold", **settings: str) -> SparkSession:
 
 def cut(df: DataFrame) -> DataFrame:
     """df materialised in the folder that spark.checkpoint.dir names, which a cluster's machines share; a temporary one is
-    set where that is unset. For steps that are repeated or read more than once."""
+    set where that is unset on one machine. For steps that are repeated or read more than once."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
@@ -25,9 +25,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names, or a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that spark.checkpoint.dir names; a temporary one where that is unset, if all runs on one machine, else RuntimeError."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and the executors share")
         where = "file://" + tempfile.mkdtemp(prefix="gridfold-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
