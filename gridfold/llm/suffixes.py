@@ -2,7 +2,7 @@
 
 Strings of WINDOW bytes that occur twice are found without sorting every suffix of the corpus. Each window names one of
 its K-byte grams, the least by hash, so equal windows name equal grams at equal offsets: only suffixes around such anchors
-need to meet. An anchor whose whole surroundings occur twice settles its windows at once. The rest, at the ends of
+need to meet. An anchor whose whole surroundings occur twice, by a 128-bit BLAKE2b digest, settles its windows at once. The rest, at the ends of
 repeated regions, come together with their surroundings by anchor and are suffix-sorted there: prefix polynomial hashes
 and binary search give the common extension of two suffixes, a mergesort compares by it, and neighbours' extensions, whose
 bytes are then compared, say which windows occur twice.
@@ -10,6 +10,9 @@ bytes are then compared, say which windows occur twice.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -66,18 +69,25 @@ def prefix(data: np.ndarray, k: int = 0) -> np.ndarray:
     return out
 
 
+def digests(parts: Iterable[bytes]) -> np.ndarray:
+    """A row of two numbers for each string: its BLAKE2b digest of 128 bits."""
+    out = bytearray()
+    for part in parts:
+        out += blake2b(part, digest_size=16).digest()
+    return np.frombuffer(out, np.int64).reshape(-1, 2)
+
+
 def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(position, least offset, greatest offset, gram hash, hash of the surroundings) of a text's anchors.
+    """(position, least offset, greatest offset, gram hash, two numbers of the surroundings' digest) of a text's anchors.
 
     The windows that name an anchor are those that start at position - offset. Surroundings reach LEFT bytes to the left
-    and RIGHT to the right, or the text's ends, whose distances are part of the hash.
+    and RIGHT to the right, or the text's ends, whose distances the first number holds too.
     """
     n = len(data)
     if n < WINDOW:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
-    p, q = prefix(data), prefix(data, 1)
+        return (np.zeros(0, np.int64),) * 6
+    p = prefix(data)
     _, down = POWERS.upto(n + 1)
-    _, down1 = POWERS.upto(n + 1, 1)
     gram = mixed((p[GRAM:] - p[:-GRAM]) * down[: n - GRAM + 1])
     parts = []
     for block in range(0, n - WINDOW + 1, BLOCK):
@@ -97,8 +107,9 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
     at = named[first]
     start, end = np.maximum(at - LEFT, 0), np.minimum(at + RIGHT, n)
     ends = ((at - start) * 1000 + (end - at)).astype(np.uint64)
-    around = mixed((q[end] - q[start]) * down1[start]) ^ mixed(ends)
-    return at, at - last, at - first, gram[at].view(np.int64), around.view(np.int64)
+    raw = data.tobytes()
+    around = digests(raw[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True))
+    return at, at - last, at - first, gram[at].view(np.int64), around[:, 0] ^ mixed(ends).view(np.int64), around[:, 1]
 
 
 class Suffixes:
@@ -236,7 +247,7 @@ def _bytes(column) -> list[bytes]:
 
 
 def find_anchors(rows: DataFrame) -> DataFrame:
-    """(doc_id, tag, meta, key, around, again) of all anchors; key is the gram.
+    """(doc_id, tag, meta, key, around, around2, again) of all anchors; key is the gram.
 
     Of anchors alike in gram and surroundings that one batch holds, all are known to occur again; one stands for them under
     the gram, and the others get keys of their own. So what a very common passage sends to one place is a row a batch.
@@ -247,19 +258,19 @@ def find_anchors(rows: DataFrame) -> DataFrame:
             for part in slices(batch):
                 out = []
                 for i, text in enumerate(_bytes(part.column("text"))):
-                    at, least, greatest, gram, around = anchors(np.frombuffer(text, np.uint8))
-                    out.append((np.full(len(at), i), packed(at, least, greatest), gram, around))
-                row, meta, gram, around = (np.concatenate(c) for c in zip(*out, strict=True))
-                by = np.lexsort((around, gram))
-                same = (gram[by][1:] == gram[by][:-1]) & (around[by][1:] == around[by][:-1])
+                    at, least, greatest, gram, around, around2 = anchors(np.frombuffer(text, np.uint8))
+                    out.append((np.full(len(at), i), packed(at, least, greatest), gram, around, around2))
+                row, meta, gram, around, around2 = (np.concatenate(c) for c in zip(*out, strict=True))
+                by = np.lexsort((around2, around, gram))
+                same = (gram[by][1:] == gram[by][:-1]) & (around[by][1:] == around[by][:-1]) & (around2[by][1:] == around2[by][:-1])
                 later, again = np.zeros(len(row), bool), np.zeros(len(row), bool)
                 later[by[1:][same]] = True
                 again[by[1:][same]] = again[by[:-1][same]] = True
                 doc_id = part.column("doc_id").take(pa.array(row))
                 own = mixed(meta.view(np.uint64) ^ mixed(np.arange(len(row), dtype=np.uint64) ^ gram.view(np.uint64))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([doc_id, part.column("tag").take(pa.array(row)), pa.array(meta), pa.array(np.where(later, own, gram)), pa.array(around), pa.array(again)], names=["doc_id", "tag", "meta", "key", "around", "again"])
+                yield pa.RecordBatch.from_arrays([doc_id, part.column("tag").take(pa.array(row)), pa.array(meta), pa.array(np.where(later, own, gram)), pa.array(around), pa.array(around2), pa.array(again)], names=["doc_id", "tag", "meta", "key", "around", "around2", "again"])
 
-    return mapped(rows.select("doc_id", "tag", "text"), run, "doc_id long, tag long, meta long, key long, around long, again boolean")
+    return mapped(rows.select("doc_id", "tag", "text"), run, "doc_id long, tag long, meta long, key long, around long, around2 long, again boolean")
 
 
 def shared_anchors(found: DataFrame) -> DataFrame:
@@ -267,11 +278,12 @@ def shared_anchors(found: DataFrame) -> DataFrame:
 
     One shuffle of the anchors; a gram's anchors are sorted, which spills, and never gathered.
     """
-    order, all_ = W.partitionBy("key").orderBy("around"), W.partitionBy("key")
-    seen = found.withColumn("prev", F.lag("around").over(order)).withColumn("next", F.lead("around").over(order))
-    seen = seen.withColumn("several", F.min("around").over(all_) != F.max("around").over(all_))
-    settled = F.col("again") | F.coalesce(F.col("prev") == F.col("around"), F.lit(False)) | F.coalesce(F.col("next") == F.col("around"), F.lit(False))
-    asked = F.col("several") & F.coalesce(F.col("prev") != F.col("around"), F.lit(True))
+    order, all_ = W.partitionBy("key").orderBy("around", "around2"), W.partitionBy("key")
+    other = lambda neighbour: F.coalesce((neighbour("around").over(order) == F.col("around")) & (neighbour("around2").over(order) == F.col("around2")), F.lit(False))
+    differs = lambda c: F.min(c).over(all_) != F.max(c).over(all_)
+    seen = found.withColumns({"prev": other(F.lag), "next": other(F.lead), "several": differs("around") | differs("around2")})
+    settled = F.col("again") | F.col("prev") | F.col("next")
+    asked = F.col("several") & ~F.col("prev")
     return seen.select("doc_id", "tag", "meta", F.col("key").alias("gram"), settled.alias("settled"), asked.alias("asked")).where("settled or asked")
 
 
@@ -306,18 +318,18 @@ def surroundings(rows: DataFrame, asked: DataFrame) -> DataFrame:
     return mapped(met, run, "gram long, doc_id long, tag long, meta long, settled boolean, left int, around binary")
 
 
-SPANS = "doc_id long, tag long, start long, end long, window long"
+SPANS = "doc_id long, tag long, start long, end long, window long, window2 long"
 
 
 def _spans(doc_id, tag, start, end, window=None) -> pa.RecordBatch:
-    window = pa.nulls(len(doc_id), pa.int64()) if window is None else pa.array(window)
-    return pa.RecordBatch.from_arrays([doc_id, tag, pa.array(start, pa.int64()), pa.array(end, pa.int64()), window], names=["doc_id", "tag", "start", "end", "window"])
+    windows = [pa.nulls(len(doc_id), pa.int64()) if window is None else pa.array(np.ascontiguousarray(window[:, k])) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays([doc_id, tag, pa.array(start, pa.int64()), pa.array(end, pa.int64()), *windows], names=["doc_id", "tag", "start", "end", "window", "window2"])
 
 
 def sorted_spans(around: DataFrame, most: int = MOST) -> DataFrame:
     """Spans (doc_id, tag, start, end) that windows repeated at several anchors' surroundings cover, by suffix sorting.
 
-    Anchors with more than `most` surroundings give their single windows instead, with a hash to count them by.
+    Anchors with more than `most` surroundings give their single windows instead, with a digest to count them by.
     """
     dealt = around.repartition("gram").sortWithinPartitions("gram")
 
@@ -334,21 +346,20 @@ def sorted_spans(around: DataFrame, most: int = MOST) -> DataFrame:
         return _spans(part.column("doc_id").take(by), part.column("tag").take(by), at[row] - (high - 1), at[row] - low + WINDOW)
 
     def windows(part: pa.RecordBatch):
-        """Each window of the surroundings by itself, settled or not, with its hash."""
+        """Each window of the surroundings by itself, settled or not, with its digest."""
         meta = part.column("meta").to_numpy(zero_copy_only=False)
         at, least, greatest = unpacked(meta)
         left = part.column("left").to_numpy(zero_copy_only=False).astype(np.int64)
         texts = part.column("around").to_pylist()
         size = np.fromiter(map(len, texts), np.int64, len(texts))
-        p = prefix(np.frombuffer(b"".join(texts), np.uint8))
-        q = prefix(np.frombuffer(b"".join(texts), np.uint8), 1)
+        raw = b"".join(texts)
         n = greatest - least + 1
         row = np.repeat(np.arange(len(at)), n)
         d = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + least[row]
         start = (np.cumsum(size) - size + left)[row] - d
-        hashes = [(x[start + WINDOW] - x[start]) * POWERS.upto(len(x), k)[1][start] for k, x in enumerate((p, q))]
+        named = digests(raw[i : i + WINDOW] for i in start.tolist())
         by = pa.array(row)
-        return _spans(part.column("doc_id").take(by), part.column("tag").take(by), at[row] - d, at[row] - d + WINDOW, (mixed(hashes[0]) ^ (mixed(hashes[1]) << np.uint64(1))).view(np.int64))
+        return _spans(part.column("doc_id").take(by), part.column("tag").take(by), at[row] - d, at[row] - d + WINDOW, named)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -393,15 +404,15 @@ def sorted_spans(around: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def counted_spans(spans: DataFrame) -> DataFrame:
-    """Of single windows, those whose hash another one shares; they are counted by neighbours in a sort."""
-    order = W.partitionBy("window").orderBy("doc_id", "tag", "start")
+    """Of single windows, those whose digest another one shares; they are counted by neighbours in a sort."""
+    order = W.partitionBy("window", "window2").orderBy("doc_id", "tag", "start")
     again = F.lag("start").over(order).isNotNull() | F.lead("start").over(order).isNotNull()
     return spans.where("window is not null").withColumn("again", again).where("again").select("doc_id", "tag", "start", "end")
 
 
 def repeated_spans(rows: DataFrame, most: int = MOST) -> DataFrame:
     """(doc_id, tag, start, end): spans of bytes that WINDOW-byte strings with another occurrence cover; they may overlap.
-    rows(doc_id, tag, text), tag a checksum that tells texts of equal doc_id apart."""
+    rows(doc_id, tag, text), tag a 64-bit hash that tells texts of equal doc_id apart."""
     shared = written(shared_anchors(find_anchors(rows)))
     at, least, greatest = F.shiftright("meta", 16), F.shiftright("meta", 8).bitwiseAND(F.lit(255)), F.col("meta").bitwiseAND(F.lit(255))
     settled = shared.where("settled").select("doc_id", "tag", (at - greatest).alias("start"), (at - least + WINDOW).alias("end"))
@@ -410,7 +421,7 @@ def repeated_spans(rows: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(text_or_empty()).alias("tag"), text_or_empty().alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("tag"), text_or_empty().alias("text"))
 
 
 def joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -426,7 +437,7 @@ def dedup(docs: DataFrame, most: int = MOST) -> DataFrame:
 
     Every byte goes that a WINDOW-byte string covers which also starts elsewhere, in the same document or another. Null
     texts count as empty; texts shorter than WINDOW stay whole; rows that repeat in full lose all windows. Rows of equal
-    doc_id with other texts are kept apart by a checksum. An empty table gives no rows. Spans reach a text as one list,
+    doc_id with other texts are kept apart by a 64-bit hash. An empty table gives no rows. Spans reach a text as one list,
     no longer than the text.
     """
     rows = keyed(docs)
@@ -453,4 +464,5 @@ def dedup(docs: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def digest(docs: DataFrame, most: int = MOST) -> DataFrame:
+    """dedup with the SHA-256 of the kept bytes in their place; odd rows as there, an empty text's digest is that of no bytes."""
     return dedup(docs, most).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
