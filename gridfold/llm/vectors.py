@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -44,14 +46,14 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray
     rng = np.random.default_rng(seed)
     centers = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        like = x @ centers.T
-        at = like.argmax(1)
+        near = [(like.argmax(1), like.max(1)) for i in range(0, len(x), BLOCK) for like in (x[i : i + BLOCK] @ centers.T,)]
+        at, best = (np.concatenate(c) for c in zip(*near, strict=True))
         sums = np.zeros_like(centers)
         np.add.at(sums, at, x)
         size = np.linalg.norm(sums, axis=1)
         lost = np.flatnonzero(size < 1e-9)
         if len(lost):
-            sums[lost] = x[np.argsort(like.max(1))[: len(lost)]]
+            sums[lost] = x[np.argsort(best)[: len(lost)]]
             size[lost] = 1.0
         centers = sums / size[:, None]
     return centers
@@ -82,7 +84,7 @@ def assigned(reps: DataFrame, centers: dict[int, np.ndarray], overlap: int) -> D
                 out = part.take(pa.array(np.repeat(np.arange(len(rows)), k)))
                 yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int64) + (dim << 32)), *out.columns], names=["shard", "id", "v"])
 
-    return reps.select("id", "v").mapInArrow(run, "shard long, id long, v array<float>")
+    return reps.select("id", "v").mapInArrow(run, f"shard long, id long, v {reps.schema['v'].dataType.simpleString()}")
 
 
 def _rows_of_shards(batches, keys: int = 1):
@@ -352,8 +354,17 @@ def _summed(rows: DataFrame) -> DataFrame:
     return cut(rows.where("b is null").groupBy("a").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners")))
 
 
-def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int = 400) -> float:
-    """Recall: the share of the links of at most so many sampled vectors, by brute force over all rows, that found(a, links) counts."""
+def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int = 400, most: int = 6400) -> float | None:
+    """Recall: the share of the links of at most so many sampled vectors, by brute force over all rows, that found(a, links)
+    counts. Where the sample has no link at all, a sample four times as large is taken, up to `most`; None if that has none
+    either. 1.0 for a table of which all rows were asked and none has a link."""
+    got, asked = _recall(reps, found, least, queries)
+    if got is None and asked >= reps.count():
+        return 1.0
+    return got if got is not None or queries >= most else audit(reps, found, least, min(4 * queries, most), most)
+
+
+def _recall(reps: DataFrame, found: DataFrame, least: float, queries: int) -> tuple[float | None, int]:
     asked = sample(reps, queries, "audit").collect()
     by_dim = {d: ([r.id for r in asked if len(r.v) == d], unit(np.array([r.v for r in asked if len(r.v) == d]))) for d in {len(r.v) for r in asked}}
     shared = reps.sparkSession.sparkContext.broadcast(by_dim)
@@ -366,12 +377,14 @@ def audit(reps: DataFrame, found: DataFrame, least: float = 0.95, queries: int =
                 if not part.num_rows:
                     continue
                 ids = part.column(0).to_numpy(zero_copy_only=False)
-                hit = alike(unit(matrix(part.column(1))), y, least) & (ids[:, None] != np.array(qs))
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(qs)), pa.array(hit.sum(0))], names=["q", "n"])
+                x, n = unit(matrix(part.column(1))), np.zeros(len(qs), np.int64)
+                for i in range(0, len(ids), BLOCK):
+                    n += (alike(x[i : i + BLOCK], y, least) & (ids[i : i + BLOCK, None] != np.array(qs))).sum(0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(qs)), pa.array(n)], names=["q", "n"])
 
     true = reps.select("id", "v").mapInArrow(run, "q long, n long").groupBy("q").agg(F.sum("n").alias("n"))
     n, got = true.join(found, F.col("q") == F.col("a"), "left").agg(F.sum("n"), F.sum("links")).first()
-    return (got or 0) / n if n else 1.0
+    return ((got or 0) / n if n else None), len(asked)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9, id_column: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
@@ -380,24 +393,29 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, recall: float = 0.9
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do those without a
     vec_id; vectors of different dimensions aren't compared. Equal vectors are one class from the start, and their links
     among themselves are counted, not listed. The graph's searches give the components; inside each, blocks of its members
-    are compared exactly, so n_links doesn't depend on shards. If the audited recall is below `recall`, the graph is built
+    are compared exactly, so n_links doesn't depend on shards. Cosines that decide are of double precision; vectors of doubles
+    stay doubles, all others are floats. If the audited recall is below `recall`, the graph is built
     again with wider overlaps, twice at most, and all links found count; if it is still below, all vectors of a dimension
-    are compared block by block. An empty table gives no rows.
+    are compared block by block. Where the audit's samples have no link, recall is unmeasured, which a warning tells. An
+    empty table gives no rows.
     """
-    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
+    kind = "float" if vectors.schema[vector].dataType.simpleString() in ("array<float>", "array<tinyint>", "array<smallint>") else "double"
+    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{kind}>").alias("v"))
     rows = cut(rows.withColumn("ok", valid(F.col("v")) & F.col("vec_id").isNotNull()))
     classes = cut(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")))
     every = cut(links(classes, least, **options))
     comps, partners = counted(classes, every, least)
     overlap = options.pop("overlap", 3)
     for _ in range(2):
-        if audit(classes, partners, least) >= recall:
+        if (measured := audit(classes, partners, least)) is None:
+            warnings.warn("no sampled vector has a link, so recall was not measured", stacklevel=2)
+        if measured is None or measured >= recall:
             break
         overlap *= 2
         every = cut(every.unionAll(links(classes, least, overlap=overlap, **options)).distinct())
         comps, partners = counted(classes, every, least)
     else:
-        if audit(classes, partners, least) < recall:
+        if (audit(classes, partners, least) or 0.0) < recall:
             rows_of = cut(compared(classes.select("id", "v", "n", F.size("v").cast("long").alias("component")), least))
             comps, partners = cut(components(rows_of.where("b is not null").select("a", "b"))), _summed(rows_of)
     comps = comps.withColumnRenamed("id", "c")
