@@ -22,7 +22,7 @@ def op1_toxicity(spark, sf_dir):
 
 
 def op3_secret_scan(spark, sf_dir):
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.scan(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("word_bpe_49k.json"))
 
 
 def captures(spark, sf_dir):
