@@ -118,7 +118,7 @@ def split_tree(keyed: DataFrame, plan: DataFrame, seed: str, levels: int) -> Dat
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), share=(3, 2), most: int = 2, levels: int = 3, seed: str = "mix", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
-    """The mix: a row for each row of docs with doc_id, source, size, source_size, target, copies, shard_1, shard_2; and the plan by source.
+    """The mix: a row for each row of docs with doc_id, source, size, source_size, target, copies, shard_1 to shard_<most>; and the plan by source.
 
     shard_k is the output shard of a row's k-th copy, null if it has none; h orders a shard's rows locally. Null texts
     have size 0; a null source is a source of its own; rows of equal doc_id and source move together. An empty table
@@ -129,17 +129,29 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share=(3, 2), most: int = 2, levels:
     rows = beside(keys, plan).withColumn("copies", copies())
     rows = rows.withColumn("block", F.shiftright("h", 60 - BLOCK_BITS).cast("int"))
     tree = small(split_tree(rows, plan, seed, levels))
-    for k in (1, 2):
+    for k in range(1, most + 1):
         t = tree.where(F.col("copy") == k).select(F.col("source").alias("s_"), F.col("block").alias("b_"), F.col("shard").alias(f"shard_{k}"))
         rows = rows.join(t, F.col("source").eqNullSafe(F.col("s_")) & (F.col("block") == F.col("b_")) & (F.col("copies") >= k), "left").drop("s_", "b_")
     return rows, plan
 
 
-def mix_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """docs as mixed: each row as often as it is taken, in its own columns. Rows of equal hash order stand together only within a source."""
+def mix_documents(docs: DataFrame, seed: str = "mix", levels: int = 3, **options) -> DataFrame:
+    """docs as mixed: each row as often as it is taken, in its own columns, shard after shard of the splitting tree and in
+    random order within a shard, the same at each run.
+
+    A row's block has a shard for each of its copies, which the tree deals. The order is a range shuffle by shard and hash, so
+    a shard is not one task. Null texts have size 0; a null source is a source of its own; repeated rows are taken each; an
+    empty table gives no rows; columns may have any name.
+    """
     names = docs.columns
-    plan = small(mix_plan(cut(with_keys(docs, seed)), **options))
+    keys = cut(with_keys(docs, seed))
+    plan = small(mix_plan(keys, **options))
+    block = F.shiftright("h", 60 - BLOCK_BITS).cast("int")
+    tree = small(split_tree(beside(keys, plan).withColumn("copies", copies()).withColumn("block", block), plan, seed, levels))
+    t = tree.select(F.col("source").alias("t_"), F.col("block").alias("b_"), "copy", "shard")
     p = plan.select(F.col("source").alias("s_"), "base", "h_cut", "patches")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("k_"), hash60(seed, F.col("doc_id")).alias("h"))
-    met = keyed.join(p, F.col("k_").eqNullSafe(F.col("s_"))).withColumn("copies", copies()).where(F.col("copies") > 0)
-    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    met = keyed.join(p, F.col("k_").eqNullSafe(F.col("s_"))).withColumn("copies", copies()).where(F.col("copies") > 0).withColumn("block", block)
+    drawn = met.join(t, F.col("k_").eqNullSafe(F.col("t_")) & (F.col("block") == F.col("b_")) & (F.col("copy") <= F.col("copies")))
+    drawn = drawn.select("row", "shard", F.xxhash64("h", "copy").alias("place"))
+    return drawn.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("row.*")
