@@ -3,6 +3,7 @@ and extra columns with clashing names."""
 
 import bisect
 import hashlib
+import math
 import os
 import random
 import re
@@ -64,6 +65,17 @@ def test_media(odd, empty):
     assert by[3].tail_crc32 == zlib.crc32(b"\xff" * 32)
 
 
+def test_png_picks_filters():
+    rng = np.random.default_rng(30)
+    text = rng.integers(97, 123, (6, 576), dtype=np.uint8)
+    text[2] = text[1]
+    text[3, 20:] = 255
+    text[5] = 7
+    made = media.encode(text.tobytes())
+    lines = np.frombuffer(zlib.decompress(b"".join(part for kind, part in media.chunks(made) if kind == b"IDAT")), np.uint8).reshape(6, -1)
+    assert lines[:, 0].tolist() == [0, 0, 2, 1, 0, 1] and media.decode(made).tobytes() == text.tobytes()
+
+
 def test_png_filters_and_checksums():
     import struct
 
@@ -110,34 +122,114 @@ def test_secrets(spark, odd, empty):
     assert clean.where("doc_id = 9").first().text == odd.where("doc_id = 9").first().text
 
 
-def brute_cost(value):
-    """Least cost over all segmentations, by recursion."""
-    import functools
-
-    ends = secrets.segments(value)
-
-    @functools.cache
-    def best(j, brute):
-        if j == 0:
-            return 0.0
-        options = []
-        if brute is not False:
-            c = secrets._brute_bits(value[j - 1])
-            options.append(min(best(j - 1, True) if j > 1 else 0.0, (best(j - 1, None) + secrets.SWITCH_BITS) if j > 1 else 99e9) + c)
-        if brute is not True:
-            options += [best(i, None) + bits + (secrets.SWITCH_BITS if i else 0) for i, bits, _ in ends.get(j, ())]
-        return min(options, default=99e9)
-
-    return best(len(value), None)
+def brute_cost(value, words):
+    """Least bits over all ways to cut the value into segments, each taken at the cheapest kind that it can be."""
+    n = len(value)
+    step = lambda a, b: any(a + b in row or b + a in row for row in secrets.KEYBOARD)
+
+    def bits(i, j):
+        return sum(math.log2(10 if c in "0123456789" else 26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 4096) for c in value[i:j])
+
+    def cost(i, j):
+        part, out = value[i:j], [bits(i, j)]
+        for form, extra in ((part.lower(), 0), (part.lower().translate(secrets.LEET), secrets.LEET_BITS)):
+            if rank := words.get(form) if len(part) > 2 else None:
+                big = sum(c.isupper() for c in part)
+                out.append(math.log2(rank + 1) + extra + (1 if big == j - i else big))
+                break
+        if (m := secrets.DATE.match(value, i)) and m.end() == j:
+            out.append(math.log2(150 if j - i == 4 else 365 * 150))
+        if j - i > 2 and all(step(a, b) for a, b in zip(part.lower(), part.lower()[1:], strict=False)):
+            out.append(secrets.WALK_BITS + math.log2(j - i))
+        if j - i > 2 and len(set(part)) == 1:
+            out.append(secrets.SAME_BITS + math.log2(j - i))
+        out += [bits(i, i + p) + math.log2((j - i) // p + 1) for p in range(2, (j - i) // 2 + 1) if part[p:] == part[:-p]]
+        return min(out)
+
+    best = [0.0]
+    for j in range(1, n + 1):
+        best.append(min(best[i] + (secrets.SWITCH_BITS if i else 0.0) + cost(i, j) for i in range(j)))
+    return best[n]
 
 
 def test_guess_cost():
-    for v in ("password123", "qwerty2024", "aaaaaaaa", "Tr0ub4dor&3", "abcabcabcabc", "x9$kQz!27", "2019-05-06hello", "6381cf9fbcc9"):
-        assert secrets.guess_cost(v)[0] == pytest.approx(brute_cost(v)), v
-    assert secrets.guess_cost("password")[0] < 5 < secrets.guess_cost("x9$kQz!27")[0]
-    assert secrets.guess_cost("letmein2020")[1] == "word+date" and "walk" in secrets.guess_cost("qwertyui")[1]
-    assert not secrets.guessed_spans("password: changeme", 36.0)
-    assert secrets.guessed_spans("auth = 'kX9$vv!q27Lw#'", 36.0)
+    words = secrets.words_of(VOCABULARY)
+    assert len(words) > 10_000
+    rng = random.Random(31)
+    values = ["password123", "qwerty2024", "aaaaaaaa", "Tr0ub4dor&3", "abcabcabcabc", "x9$kQz!27", "2019-05-06hello", "6381cf9fbcc9", "aaaaaaaaaab"]
+    values += ["".join(rng.choice(["a", "b", "ab", "1", "2", "qwe", "W", "@", "pass", "Love", "2019", "-05-", "é", "0", "zz"]) for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    unit = "".join(rng.choice("abcdefghijklmnop0123456789!") for _ in range(65))
+    for v in (*values, unit * 2, "x" * 70 + "y"):
+        for known in (words, secrets.words_of(None)):
+            assert secrets.guess_cost(v, known)[0] == pytest.approx(brute_cost(v, known)), v
+    for v in values[:40]:
+        whole = secrets.guess_cost(v, words)[0]
+        assert [secrets.guess_cost(v, words, e)[0] >= e for e in (whole - 0.5, whole + 0.5)] == [True, False]
+    plain = secrets.words_of(None)
+    assert secrets.guess_cost("password", plain)[0] < 5 < secrets.guess_cost("x9$kQz!27", plain)[0]
+    assert secrets.guess_cost("letmein2020", plain)[1] == "word+date" and "walk" in secrets.guess_cost("qwertyui", plain)[1]
+    costly = secrets.Costs(plain, 36.0)
+    assert not secrets.guessed_spans("password: changeme", costly)
+    assert secrets.guessed_spans("auth = 'kX9$vv!q27Lw#'", costly)
+
+
+def test_toxicity_features():
+    words, starts = {"idiot": 2.0, "moron": 1.25}, {"stup": 1.5, "stupid": 3.0}
+    weight = lambda w: max([words.get(w, 0.0), *(v for k, v in starts.items() if len(k) in (4, 5, 6) and w.startswith(k))])
+    rng = random.Random(32)
+    parts = ["you", "IDIOT", "Moron", "stupidly", "stupor", "a", "tree", "id10t", "m0ron", "f*ck", "sooo", "Nooooo", "été", "!", "?!", "...", "42", "\n", "I", "_x_", ""]
+    for _ in range(300):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        found = re.findall(r"[^\W\d_]+", text)
+        low = [w.lower() for w in found]
+        n, chars, w = max(len(found), 1), max(len(text), 1), [weight(x) for x in low]
+        hits, you = [i for i, x in enumerate(w) if x > 0], [i for i, x in enumerate(low) if x in toxicity.SECOND_PERSON]
+        masked = re.findall(r"\b[^\W\d_]+[@$!*0-9]+[^\W\d_]+", text)
+        undone = [m.lower().translate(str.maketrans("0134578@$!*", "oieastbasi.")) for m in masked]
+        share = lambda signs: sum(c in signs for c in text) / chars
+        want = [
+            len(hits), len(hits) / n, sum(w), max(w, default=0), sum(any(abs(i - j) <= 5 for j in you) for i in hits), len(you) / n, sum(x.isupper() for x in found) / n, sum(x[0].isupper() for x in found) / n,
+            share("!"), share(".,;:?"), sum(not (c.isalpha() or c in " \n") for c in text) / chars, len(masked) / n, sum(weight(m) > 0 for m in undone),
+            len(re.findall(r"([^\W\d_])\1\1+", text)) / n, share("0123456789"), math.log1p(len(found)),
+        ]
+        if not text:
+            want[10] = toxicity.features("", toxicity.Weights(words, starts))[10]
+        assert toxicity.features(text, toxicity.Weights(words, starts)) == pytest.approx(want), text
+
+
+def brute_boost(x, y, rounds, depth=3, rate=0.15):
+    """Margins of boosted trees whose every cut between two values of every feature is tried, row by row."""
+    margin = np.full(len(y), math.log(y.mean() / (1 - y.mean())))
+    for _ in range(rounds):
+        q = 1 / (1 + np.exp(-margin))
+        g, h, add = y - q, q * (1 - q), np.zeros(len(y))
+
+        def grow(rows, level, g=g, h=h, add=add):
+            gs, hs, best = g[rows].sum(), h[rows].sum(), (1e-6, None)
+            for f in range(x.shape[1] if level < depth else 0):
+                values = np.unique(x[:, f])
+                for cut in (values[1:] + values[:-1]) / 2:
+                    left, right = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                    gl, hl, gr, hr = g[left].sum(), h[left].sum(), g[right].sum(), h[right].sum()
+                    gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - gs**2 / (hs + 1)
+                    if min(hl, hr) >= 0.1 and gain > best[0] + 1e-9:
+                        best = (gain, (left, right))
+            if best[1] is None:
+                add[rows] = rate * gs / (hs + 1)
+            else:
+                for side in best[1]:
+                    grow(side, level + 1)
+
+        grow(np.arange(len(y)), 0)
+        margin = margin + add
+    return margin
+
+
+def test_boosting_against_brute_force():
+    rng = np.random.default_rng(33)
+    x = np.stack([rng.integers(0, k, 250) * s for k, s in ((6, 1.0), (9, 0.25), (4, 3.0))], 1)
+    y = (x[:, 0] + 2 * x[:, 1] - 0.3 * x[:, 2] + rng.normal(size=250) > 4).astype(float)
+    assert np.allclose(toxicity.boost(x, y, rounds=6).margin(x), brute_boost(x, y, 6))
 
 
 def test_toxicity(spark, sf, odd, empty):
@@ -416,6 +508,10 @@ def test_mixing(spark, odd, empty):
     assert sorted(map(str, got)) == sorted(map(str, again))
     kept = mixing.mix_documents(odd)
     assert kept.columns == odd.columns and kept.count() == sum(r.copies for r in got)
+    assert Counter((r.doc_id, r.source) for r in kept.collect()) == sum((Counter({(r.doc_id, r.source): r.copies}) for r in got), Counter())
+    thrice = mixing.mix(odd, share=(3, 1), most=3)[0].collect()
+    assert {r.copies for r in thrice} <= {0, 1, 2, 3} and all((r[f"shard_{k}"] is not None) == (r.copies >= k) for r in thrice for k in (1, 2, 3))
+    assert mixing.mix_documents(empty).count() == 0
 
 
 def brute_targets(sizes, weights=(5, 2, 1)):
@@ -507,6 +603,24 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_doubles(spark):
+    # cosines of 0.95 and a little more or less, which single precision can't tell apart
+    turned = lambda c: [c, math.sqrt(1 - c * c), 0.0]
+    rows = [(0, [1.0, 0.0, 0.0]), (1, turned(0.950000002)), (2, turned(0.949999998)[:1] + [0.0, math.sqrt(1 - 0.949999998**2)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [(r.n_links, r.component_id) for r in vectors.near_duplicates(df).orderBy("vec_id").collect()] == [(1, 0), (1, 0), (0, 2)]
+
+
+def test_audit_without_links(spark):
+    x = np.random.default_rng(18).normal(size=(300, 32))
+    reps = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    none = spark.createDataFrame([], "a long, links long, partners long")
+    # nobody asked has a link: not measured, unless all were asked
+    assert vectors.audit(reps, none, 0.95, 20, 40) is None and vectors._recall(reps, none, 0.95, 20)[0] is None
+    pair = reps.unionAll(spark.createDataFrame([(300, x[0].tolist())], "id long, v array<double>"))
+    assert vectors.audit(pair, none, 0.95, 20, 6400) == 0.0
+
+
 def test_splitting_of_large_shards(spark):
     rng = np.random.default_rng(16)
     v = np.concatenate([rng.normal(size=(1, 16)) + 0.3 * rng.normal(size=(900, 16)), rng.normal(size=(300, 16))]).astype("f4")
