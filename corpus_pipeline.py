@@ -29,11 +29,11 @@ def drop_near_copies(spark, docs, sf_dir):
 
 def redact_secrets(spark, docs, sf_dir):
     """Secrets in texts are replaced by a mark; no document goes."""
-    return secrets.redact(docs)
+    return secrets.redact(docs, vocabulary=public_tokenizers.path(VOCABULARY))
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Each document as often as its source's target takes it: not at all, once or twice."""
+    """Each document as often as its source's target takes it: not at all, once or twice, in the order of the output shards."""
     return mixing.mix_documents(docs)
 
 
