@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,24 +29,44 @@ def utm_zone(wkt: str) -> tuple[int, bool] | None:
     raise ValueError("only geographic and UTM coordinates are known")
 
 
-def from_utm(east: Column, north: Column, zone: int, northern: bool = True) -> tuple[Column, Column]:
-    """(lon, lat) in degrees, by the closed series to the sixth order: exact to millimetres within a zone."""
+def from_utm(east, north, zone: int, northern: bool = True, f=F):
+    """(lon, lat) in degrees, by the closed series to the sixth order: exact to millimetres within a zone. Of columns, or of numbers
+    and arrays with f=numpy."""
     e2 = FLATTENING * (2 - FLATTENING)
     ep2 = e2 / (1 - e2)
     e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
     m = (north - (0.0 if northern else FALSE_NORTH)) / SCALE
     mu = m / (SEMI_MAJOR * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
     foot = (
-        mu + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
-        + 151 * e1**3 / 96 * F.sin(6 * mu) + 1097 * e1**4 / 512 * F.sin(8 * mu)
+        mu + (3 * e1 / 2 - 27 * e1**3 / 32) * f.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * f.sin(4 * mu)
+        + 151 * e1**3 / 96 * f.sin(6 * mu) + 1097 * e1**4 / 512 * f.sin(8 * mu)
     )
-    sin, cos, tan = F.sin(foot), F.cos(foot), F.tan(foot)
+    sin, cos, tan = f.sin(foot), f.cos(foot), f.tan(foot)
     c, t = ep2 * cos * cos, tan * tan
-    root = F.sqrt(1 - e2 * sin * sin)
+    root = f.sqrt(1 - e2 * sin * sin)
     n, r = SEMI_MAJOR / root, SEMI_MAJOR * (1 - e2) / (root * root * root)
     d = (east - FALSE_EAST) / (n * SCALE)
+    d2 = d * d
     lat = foot - n * tan / r * (
-        d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * F.pow(d, F.lit(4.0)) / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * F.pow(d, F.lit(6.0)) / 720
+        d2 / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * d2 * d2 / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * d2 * d2 * d2 / 720
     )
-    lon = (d - (1 + 2 * t + c) * F.pow(d, F.lit(3.0)) / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * F.pow(d, F.lit(5.0)) / 120) / cos
-    return F.degrees(lon) + (zone * 6 - 183.0), F.degrees(lat)
+    lon = (d - (1 + 2 * t + c) * d2 * d / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * d2 * d2 * d / 120) / cos
+    return f.degrees(lon) + (zone * 6 - 183.0), f.degrees(lat)
+
+
+def to_utm(lon: np.ndarray, lat: np.ndarray, zone: int, northern: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(easting, northing) of degrees, the way back from from_utm."""
+    e2 = FLATTENING * (2 - FLATTENING)
+    ep2 = e2 / (1 - e2)
+    phi = np.radians(lat)
+    sin, cos, tan = np.sin(phi), np.cos(phi), np.tan(phi)
+    n = SEMI_MAJOR / np.sqrt(1 - e2 * sin * sin)
+    t, c = tan * tan, ep2 * cos * cos
+    a = np.radians((lon - (zone * 6 - 183.0) + 540.0) % 360.0 - 180.0) * cos
+    arc = (
+        (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * phi - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * np.sin(2 * phi)
+        + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * np.sin(4 * phi) - 35 * e2**3 / 3072 * np.sin(6 * phi)
+    )
+    east = SCALE * n * (a + (1 - t + c) * a**3 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a**5 / 120)
+    north = SCALE * (SEMI_MAJOR * arc + n * tan * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a**4 / 24 + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a**6 / 720))
+    return east + FALSE_EAST, north + (0.0 if northern else FALSE_NORTH)

@@ -1,7 +1,7 @@
 """Scenes cut into quad-tree tiles, rendered to layers and rolled up: the steps that need whole arrays.
 
 A scene row holds bands, height, width, transform (affine, six numbers) and one binary of float64 per band; a tile row the
-same for one tile. Scenes are exploded to tiles before any array work, so a task holds one scene's bands and one tile.
+same for one tile. A scene is one row on its way to Python, where its bands are prepared once and tiles leave one by one.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridfold.functions import png, tiling
+from gridfold.functions import geodesy, png, tiling
 from gridfold.session import cut
 
 #: Pole of the cubic B-spline's recursive prefilter.
@@ -47,16 +47,25 @@ def spline_coefficients(a: np.ndarray) -> np.ndarray:
     return out
 
 
+def prepared(a: np.ndarray, order: int = 3) -> np.ndarray:
+    """What interpolation of this order reads: spline coefficients, or the picture itself."""
+    return spline_coefficients(a) if order == 3 else a.astype(float)
+
+
 def resample(a: np.ndarray, y: np.ndarray, x: np.ndarray, order: int = 3) -> np.ndarray:
     """Values of a picture at fractional rows and columns, 0 outside; order 0 nearest, 1 linear, 3 cubic spline."""
-    height, width = a.shape
+    return interpolated(prepared(a, order), y, x, order)
+
+
+def interpolated(source: np.ndarray, y: np.ndarray, x: np.ndarray, order: int = 3) -> np.ndarray:
+    """As resample, of a picture that is prepared for the order."""
+    height, width = source.shape
     inside = (y >= 0) & (y <= height - 1) & (x >= 0) & (x <= width - 1)
     if order == 0:
         yi, xi = np.clip(np.rint(y), 0, height - 1).astype(int), np.clip(np.rint(x), 0, width - 1).astype(int)
-        return np.where(inside, a[yi, xi], 0.0)
+        return np.where(inside, source[yi, xi], 0.0)
     if order not in (1, 3):
         raise ValueError("orders 0, 1 and 3")
-    source = spline_coefficients(a) if order == 3 else a.astype(float)
 
     def weights(t: np.ndarray) -> list[np.ndarray]:
         if order == 1:
@@ -79,51 +88,74 @@ def resample(a: np.ndarray, y: np.ndarray, x: np.ndarray, order: int = 3) -> np.
     return np.where(inside, out, 0.0)
 
 
-def tile_arrays(bands: list[np.ndarray], transform: list[float], depth: int, long_index: int, lat_index: int, width: int, height: int, order: int = 3, masked_by: int | None = None):
-    """(mask, bands) of one tile of a scene in degrees: the mask of valid pixels first, and None if no pixel of it is half
-    valid. masked_by: how many of the bands, the original ones, decide what is valid. Row 0 is north."""
-    left, dx, _, top, _, dy = transform
-    tiles = 2 << depth
-    lon0, lat0 = long_index / tiles * 360.0 - 180.0, lat_index / tiles * 180.0 - 90.0
-    lon = lon0 + (np.arange(width) + 0.5) / width * (360.0 / tiles)
-    lat = lat0 + (1 - (np.arange(height) + 0.5) / height) * (180.0 / tiles)
-    x, y = np.meshgrid((lon - left) / dx - 0.5, (lat - top) / dy - 0.5)
-    valid = np.all([b > 0 for b in bands[: masked_by or len(bands)]], 0).astype(float)
+def tile_arrays(valid: np.ndarray, sources: list[np.ndarray], y: np.ndarray, x: np.ndarray, order: int = 3):
+    """(mask, bands) at fractional rows and columns of a scene: the mask of valid pixels first, and None if none of it is half
+    valid. sources: the bands as `prepared`."""
     mask = resample(valid, y, x, min(order, 1))
     if not (mask > 0.5).any():
         return None
-    return mask, [np.where(mask < 0.01, 0.0, resample(b, y, x, order)) for b in bands]
+    return mask, [np.where(mask < 0.01, 0.0, interpolated(s, y, x, order)) for s in sources]
 
 
 TILE = "scene_id string, depth int, long_index long, lat_index long, bands array<string>, data array<binary>, metadata map<string,string>"
 
 
-def make_tiles(scenes: DataFrame, depth: int = tiling.DEEPEST, width: int = 512, height: int = 256, order: int = 3) -> DataFrame:
+def outline(transform: list[float], height: int, width: int, zone: tuple[int, bool] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Longitudes and latitudes of points around a scene: its corners, and 16 steps a side, which zones bend."""
+    left, dx, _, top, _, dy = transform
+    t = np.arange(17) / 16
+    x, y = np.r_[t, t, 0 * t, 0 * t + 1] * width, np.r_[0 * t, 0 * t + 1, t, t] * height
+    east, north = left + x * dx, top + y * dy
+    if not zone:
+        return east, north
+    lon, lat = geodesy.from_utm(east, north, *zone, f=np)
+    return lon, lat
+
+
+def scene_tiles(bands: list[np.ndarray], transform: list[float], zone: tuple[int, bool] | None, depth: int, width: int, height: int, order: int, masked_by: int | None):
+    """(long_index, lat_index, mask, bands) of each tile that a scene meets with a half valid pixel. Bands are prepared once."""
+    n = 2 << depth
+    left, dx, _, top, _, dy = transform
+    lon, lat = outline(transform, *bands[0].shape, zone)
+    cell = lambda v, low, span: int(np.floor((v - low) / span * n))
+    columns = range(cell(lon.min(), -180.0, 360.0), cell(lon.max(), -180.0, 360.0) + 1)
+    rows = range(max(cell(lat.min(), -90.0, 180.0), 0), min(cell(lat.max(), -90.0, 180.0), n - 1) + 1)
+    valid = np.all([b > 0 for b in bands[: masked_by or len(bands)]], 0).astype(float)
+    sources = [prepared(b, order) for b in bands]
+    for c in columns:
+        for r in rows:
+            lon = c / n * 360.0 - 180.0 + (np.arange(width) + 0.5) / width * (360.0 / n)
+            lat = r / n * 180.0 - 90.0 + (1 - (np.arange(height) + 0.5) / height) * (180.0 / n)
+            east, north = np.meshgrid(lon, lat)
+            if zone:
+                east, north = geodesy.to_utm(east, north, *zone)
+            if (made := tile_arrays(valid, sources, (north - top) / dy - 0.5, (east - left) / dx - 0.5, order)) is not None:
+                yield c, r, *made
+
+
+def make_tiles(scenes: DataFrame, depth: int = tiling.DEEPEST, width: int = 512, height: int = 256, order: int = 3, masked_by: int | None = None) -> DataFrame:
     """Tiles of scenes(scene_id, bands, height, width, transform array<double>, data array<binary>, metadata): one row for
-    each tile that a scene meets with a half valid pixel. Bands gain MASK; each tile's own place is in its metadata."""
+    each tile that a scene meets with a half valid pixel. Bands gain MASK; each tile's own place is in its metadata.
+
+    Scenes with a column `projection` (WKT) may be in a UTM zone: each tile pixel is projected into it, exactly, rather than
+    by a linear map. masked_by: how many of the bands, the first ones, decide what is valid. A scene goes to Python once and
+    its tiles come back one by one. Scenes without bands give no tiles. Row 0 is north.
+    """
     n = 2 << depth
-    t = F.col("transform")
-    west, east = F.least(t[0], t[0] + t[1] * F.col("width")), F.greatest(t[0], t[0] + t[1] * F.col("width"))
-    south, north = F.least(t[3], t[3] + t[5] * F.col("height")), F.greatest(t[3], t[3] + t[5] * F.col("height"))
-    at = lambda v, low, span: F.floor((v - low) / span * n)
-    met = scenes.withColumn("long_index", F.explode(F.sequence(at(west, -180.0, 360.0), at(east, -180.0, 360.0))))
-    met = met.withColumn("lat_index", F.explode(F.sequence(F.greatest(at(south, -90.0, 180.0), F.lit(0)), F.least(at(north, -90.0, 180.0), F.lit(n - 1)))))
+    wkt = F.col("projection") if "projection" in scenes.columns else F.lit(None).cast("string").alias("projection")
 
     def run(frames):
         for f in frames:
-            out = []
             for r in f.itertuples(index=False):
                 bands = [np.frombuffer(b, "<f8").reshape(r.height, r.width) for b in r.data]
-                x, y = int(r.long_index), int(r.lat_index)
-                if (made := tile_arrays(bands, list(r.transform), depth, x, y, width, height, order)) is None:
-                    continue
-                mask, planes = made
-                place = {"depth": str(depth), "longIndex": str(x), "latIndex": str(y), "tileName": f"T{depth:02d}-{x:05d}-{y:05d}"}
-                place["geoCenter"] = "lat=%.3f&lng=%.3f&z=12" % ((y + 0.5) / n * 180 - 90, (x + 0.5) / n * 360 - 180)
-                out.append((r.scene_id, depth, x, y, [*r.bands, "MASK"], [p.astype("<f8").tobytes() for p in (*planes, mask)], dict(r.metadata or {}) | place))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in ("scene_id", "depth", "long_index", "lat_index", "bands", "data", "metadata")])
-
-    return met.select("scene_id", "bands", "height", "width", "transform", "data", "metadata", "long_index", "lat_index").mapInPandas(run, TILE)
+                zone = geodesy.utm_zone(r.projection) if r.projection else None
+                for x, y, mask, planes in scene_tiles(bands, list(r.transform), zone, depth, width, height, order, masked_by) if bands else ():
+                    place = {"depth": str(depth), "longIndex": str(x), "latIndex": str(y), "tileName": f"T{depth:02d}-{x:05d}-{y:05d}"}
+                    place["geoCenter"] = "lat=%.3f&lng=%.3f&z=12" % ((y + 0.5) / n * 180 - 90, (x + 0.5) / n * 360 - 180)
+                    tile = (r.scene_id, depth, x, y, [*r.bands, "MASK"], [p.astype("<f8").tobytes() for p in (*planes, mask)], dict(r.metadata or {}) | place)
+                    yield pd.DataFrame([tile], columns=[c.split()[0] for c in ("scene_id", "depth", "long_index", "lat_index", "bands", "data", "metadata")])
+
+    return scenes.select("scene_id", "bands", "height", "width", "transform", "data", "metadata", wkt).mapInPandas(run, TILE)
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from gridfold.operators import bands, clusters, explorer, footprints, rollup, runs, serving, spectral, topology, training
+from gridfold.functions import geodesy
+from gridfold.operators import bands, clusters, explorer, footprints, raster, rollup, runs, serving, spectral, topology, training
 
 
 def test_k_means_and_growth(spark):
@@ -108,6 +109,32 @@ def test_wrapped_neighbours_against_numpy(spark):
         assert r.gy == gy[r.y, r.x] and abs(r.mean5 - mean5[r.y, r.x]) < 1e-9 and r.cx == cx[r.y, r.x]
 
 
+def test_utm_scene_in_tiles(spark):
+    zone, northern = 33, True
+    lon, lat = np.meshgrid(np.linspace(12.2, 17.8, 7), np.linspace(-60, 70, 9))
+    there = geodesy.to_utm(lon, lat, zone, False)
+    assert np.allclose(geodesy.from_utm(*there, zone, False, f=np), (lon, lat), atol=1e-8)
+    # a scene whose two bands are its own longitudes and latitudes
+    height, width, left, top, step = 90, 120, 470_000.0, 5_250_000.0, 1000.0
+    east, north = np.meshgrid(left + (np.arange(width) + 0.5) * step, top - (np.arange(height) + 0.5) * step)
+    planes = geodesy.from_utm(east, north, zone, northern, f=np)
+    wkt = 'PROJCS["WGS 84 / UTM zone 33N",GEOGCS["WGS 84"]]'
+    rows = [("u", ["LON", "LAT"], height, width, [left, step, 0.0, top, 0.0, -step], [p.astype("<f8").tobytes() for p in planes], {"k": "v"}, wkt), ("none", [], 0, 0, [0.0] * 6, [], None, None)]
+    scenes = spark.createDataFrame(rows, "scene_id string, bands array<string>, height int, width int, transform array<double>, data array<binary>, metadata map<string,string>, projection string")
+    tiles = raster.make_tiles(scenes, depth=9, width=32, height=16, order=1).collect()
+    assert len(tiles) > 3 and len({(t.long_index, t.lat_index) for t in tiles}) == len(tiles)
+    seen = 0
+    for t in tiles:
+        a, b, mask = (np.frombuffer(d, "<f8").reshape(16, 32) for d in t.data)
+        want_lon = (t.long_index + (np.arange(32) + 0.5) / 32) / 1024 * 360 - 180
+        want_lat = (t.lat_index + 1 - (np.arange(16) + 0.5) / 16) / 1024 * 180 - 90
+        inside = mask > 0.999
+        seen += inside.sum()
+        assert t.bands == ["LON", "LAT", "MASK"] and t.metadata["k"] == "v"
+        assert np.allclose(a[inside], np.broadcast_to(want_lon, a.shape)[inside], atol=1e-4) and np.allclose(b[inside], np.broadcast_to(want_lat[:, None], b.shape)[inside], atol=1e-4)
+    assert seen > 1000
+
+
 def test_bright_and_training(spark):
     rows = spark.createDataFrame([("a", float(i)) for i in range(11)] + [("b", 100.0 + i) for i in range(11)], "scene_id string, intensity double")
     assert clusters.bright(rows, "90%").count() == 2 and clusters.bright(rows, 5.0).count() == 16
