@@ -94,6 +94,6 @@ def slider_bounds(catalog: DataFrame) -> DataFrame:
 def picture_corners(pixels: DataFrame) -> DataFrame:
     """Of valid pixels(scene_id, y, x): first and last row and column, with the mean place of the valid pixels in each."""
     ends = pixels.groupBy("scene_id").agg(F.min("y").alias("top"), F.max("y").alias("bottom"), F.min("x").alias("left"), F.max("x").alias("right"))
-    met = pixels.join(F.broadcast(ends), "scene_id")
+    met = pixels.join(ends, "scene_id")
     mean = lambda edge, c, v: F.avg(F.when(F.col(c) == F.col(edge), F.col(v))).alias(f"{edge}_{v}")
     return met.groupBy("scene_id", "top", "bottom", "left", "right").agg(mean("top", "y", "x"), mean("bottom", "y", "x"), mean("left", "x", "y"), mean("right", "x", "y"))

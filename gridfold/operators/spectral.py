@@ -25,7 +25,7 @@ def cloud_threshold(pixels: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def cloudless(pixels: DataFrame, keys: list[str]) -> DataFrame:
-    return pixels.join(F.broadcast(cloud_threshold(pixels, keys)), keys).where(squared_norm(F.col("spectrum")) <= F.col("threshold")).drop("threshold")
+    return pixels.join(cloud_threshold(pixels, keys), keys).where(squared_norm(F.col("spectrum")) <= F.col("threshold")).drop("threshold")
 
 
 def common_bands(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def classified(grid: DataFrame, arm: int = 5, flat_share: float = 0.6) -> DataFr
     """flat: gradient below that percentile of the granule; bowl: no negative curvature; hill: no positive one."""
     c = curvature(grid, arm)
     cut = c.groupBy("granule").agg(F.percentile("magnitude", flat_share).alias("flat_cut"))
-    flags = c.join(F.broadcast(cut), "granule")
+    flags = c.join(cut, "granule")
     return flags.withColumns({"flat": F.col("magnitude") < F.col("flat_cut"), "bowl": F.least("cy", "cx") >= 0, "hill": F.greatest("cy", "cx") <= 0})
 
 

@@ -36,7 +36,8 @@ class Store:
     def _write(self, rows: DataFrame) -> None:
         v = self._versions()
         order = [c for c in ("long_index", "lat_index", "row_key") if c in rows.columns and c not in self.partitions]
-        out = rows.repartition(*self.partitions).sortWithinPartitions(*self.partitions, *order) if self.partitions else rows
+        # ranges of tiles, so that the deepest level of a layer is many tasks
+        out = rows.repartitionByRange(*self.partitions, *order).sortWithinPartitions(*self.partitions, *order) if self.partitions else rows
         writer = out.write.mode("overwrite")
         (writer.partitionBy(*self.partitions) if self.partitions else writer).parquet(f"{self.path}/v{v[-1] + 1 if v else 0}")
         fs, path = self._files()
