@@ -75,6 +75,18 @@ def rescaled(value: Column, factor: Column, offset: Column, tenfold: Column | No
     return counts * 30.0 * factor + offset
 
 
+def corrected(rows: DataFrame, irradiances: DataFrame) -> DataFrame:
+    """The whole correction of rows(hyperspectral, number, value, factor, offset, day, elevation): multispectral counts to
+    radiance, over the band's irradiance, as if the sun stood overhead; in column `corrected`.
+
+    irradiances(hyperspectral, number, irradiance) has a row a band of each instrument. A band without one gets null.
+    """
+    by = irradiances.select(F.col("hyperspectral").alias("h_"), F.col("number").alias("n_"), F.col("irradiance").alias("e_"))
+    radiance = F.when(F.col("hyperspectral"), F.col("value")).otherwise(rescaled(F.col("value"), F.col("factor"), F.col("offset")))
+    met = rows.join(by, (F.col("hyperspectral") == F.col("h_")) & (F.col("number") == F.col("n_")), "left")
+    return met.withColumn("corrected", sun_corrected(radiance / F.col("e_"), F.col("day"), F.col("elevation"))).drop("h_", "n_", "e_")
+
+
 def stored_over_300(value: Column) -> Column:
     """Aggregate: whether all values of a scene are multiples of 1/300, as the sum of their rounding errors shows."""
     return F.sum(F.rint(value * 300.0) - value * 300.0) < 1e-4

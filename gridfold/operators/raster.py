@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gridfold.functions import geodesy, png, tiling
 from gridfold.session import cut
@@ -228,6 +229,28 @@ def render(tiles: DataFrame, layers: list[Layer], width: int = 512, height: int
     return tiles.mapInPandas(run, IMAGE)
 
 
+def image_files(images: DataFrame) -> DataFrame:
+    """(name, content) of images: a PNG and its metadata as JSON, named by tile, layer and time; for files.write_files."""
+    stem = tiling.image_key(tiling.tile_name("depth", "long_index", "lat_index"), "layer", "ts")
+    kinds = F.array(F.struct(F.concat(stem, F.lit(".png")).alias("name"), F.col("png").alias("content")), F.struct(F.concat(stem, F.lit(".json")).alias("name"), F.to_json("metadata").cast("binary").alias("content")))
+    return images.select(F.explode(kinds).alias("f_")).select("f_.*")
+
+
+def image_pixels(images: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, y, x, r, g, b, a): the pixels of RGBA pictures in a column png; transparent ones too."""
+    schema = StructType([*images.select(*keys).schema.fields, *[StructField(c, IntegerType()) for c in ("y", "x", *"rgba")]])
+
+    def run(frames):
+        for f in frames:
+            for _, row in f.iterrows():
+                p = png.decode(bytes(row["png"]))
+                y, x = np.indices(p.shape[:2], "int32")
+                cells = {"y": y.ravel(), "x": x.ravel()} | {c: p[..., i].ravel().astype("int32") for i, c in enumerate("rgba")}
+                yield pd.DataFrame({k: [row[k]] * y.size for k in keys} | cells)
+
+    return images.select(*keys, "png").mapInPandas(run, schema)
+
+
 def halved(picture: np.ndarray) -> np.ndarray:
     """Half size by means of four, weighted by opacity, so that transparent pixels don't darken an edge."""
     p = picture.astype(float)

@@ -67,6 +67,24 @@ def features_of_request(points: DataFrame, request: dict) -> DataFrame:
     return features(points, box, times, number_or(request.get("groupdepth"), tiling.DEEPEST))
 
 
+def respond(request: dict, images: DataFrame, points: DataFrame, polygons: DataFrame) -> DataFrame:
+    """What a request of text parameters asks for by `command`: image (also without a command), imageList, imageMetadata, points,
+    polygons, images or test. Image commands take depth, long, lat, layer, timemin and timemax; images gives all of a tile's
+    images in time order. Another command gives one row with a message."""
+    command = request.get("command") or "image"
+    times = (number_or(request.get("timemin"), EVER[0]), number_or(request.get("timemax"), EVER[1]))
+    if command in ("points", "polygons"):
+        return features_of_request(points if command == "points" else polygons, request)
+    if command in ("image", "images", "imageList", "imageMetadata"):
+        tile = tuple(number_or(request.get(k), -1) for k in ("depth", "long", "lat"))
+        layer = request.get("layer", "RGB")
+        if command == "images":
+            return _images(images, tile, layer, times).where("rgba is not null").orderBy("ts")
+        return {"image": latest_image, "imageList": image_list, "imageMetadata": image_metadata}[command](images, tile, layer, times)
+    message = "I'm alive." if command == "test" else f'Unrecognized command "{command}".'
+    return images.sparkSession.createDataFrame([(message,)], "message string")
+
+
 def tile_points(points: DataFrame, tile: str, low: int | None = None, high: int | None = None) -> DataFrame:
     """Points of one deepest tile, with defaults for absent fields; the range holds `low` but not `high`."""
     at = tiling.parse_name(F.lit(tile))

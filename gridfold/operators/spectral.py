@@ -189,6 +189,16 @@ def region_growth(labels: DataFrame, width: int, height: int, steps: int = 19) -
     return labels
 
 
+def growth_frames(labels: DataFrame, width: int, height: int, steps: int) -> DataFrame:
+    """(step, y, x, cluster) after each step of growing, step 0 being the start: the frames of a film of it."""
+    labels = cut(labels)
+    frames = labels.select(F.lit(0).alias("step"), "y", "x", "cluster")
+    for step in range(1, steps + 1):
+        labels = cut(grown(labels, width, height))
+        frames = frames.unionAll(labels.select(F.lit(step), "y", "x", "cluster"))
+    return frames
+
+
 def band_deviation(spectrum: Column) -> Column:
     """Population deviation of a pixel's bands."""
     n = F.size(spectrum).cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridfold.plans import maps, pictures, spectra
+from gridfold.plans import inputs, maps, pictures, spectra
 from gridfold.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "maps", "pictures", "spectra"]
+__all__ = ["ORACLES", "QUERIES", "inputs", "maps", "pictures", "spectra"]

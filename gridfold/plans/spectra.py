@@ -242,11 +242,16 @@ def cluster_covariance(spark, sf_dir):
     return c.where("covariance is not null").select("cluster", "i", "j", (F.round("covariance", 6) + 0.0).alias("covariance"))
 
 
-@query()
+@query(f"""WITH {_CENTERS}, l AS (SELECT id, cluster, unnest(range(0, 64)) i, unnest(near.s) v, unnest(near.s) - unnest(cs) d FROM near JOIN centers ON c = cluster),
+cov AS (SELECT a.cluster, a.i, b.i j, covar_samp(a.v, b.v) k FROM l a JOIN l b USING (id) GROUP BY ALL),
+u AS (SELECT a.id, any_value(a.cluster) cluster, sum(a.d * b.d * k) q FROM l a JOIN l b USING (id) JOIN cov ON cov.cluster = a.cluster AND cov.i = a.i AND cov.j = b.i GROUP BY a.id),
+n AS (SELECT id, cluster, sum(d * d) n2 FROM l GROUP BY id, cluster), g AS (SELECT n.id, n.cluster, n2 / sqrt(CASE WHEN q > 0 AND n2 > 0 THEN q END) s FROM n LEFT JOIN u USING (id))
+SELECT id, cluster, round(s, 5) significance, CASE WHEN s < 2.5e0 THEN cluster ELSE -1 END seed, CASE WHEN s > 5 THEN cluster ELSE -1 END outlier FROM g""")
 def significance(spark, sf_dir):
-    """Distance of pixels from their centres in deviations, with the seeds and outliers that follow."""
+    """Distance of pixels from their centres in deviations, with the seeds and outliers that follow; none for a centre itself."""
     assigned, centers = _assigned(spark, sf_dir)
-    return spectral.outliers(spectral.seeds(spectral.significance(assigned, centers, ["id"])))
+    rows = spectral.outliers(spectral.seeds(spectral.significance(assigned, centers, ["id"])))
+    return rows.withColumn("significance", F.round("significance", 5))
 
 
 @query(f"""WITH {_CENTERS}, m AS (SELECT c cluster, list_sum(list_transform(range(1, 65), lambda i: (cs[i] + 1) * (400 + i * 10e0))) / list_sum(list_transform(cs, lambda v: v + 1)) m FROM centers)
@@ -276,13 +281,49 @@ def region_growth_step(spark, sf_dir):
     return spectral.grown(labels, fx.PIXELS_WIDE, height).select("y", "x", F.col("cluster").cast("int").alias("cluster"))
 
 
-@query()
+def _growth_sql(steps):
+    """_GRID's step so many times over, from one pixel in forty: tables g0 to g<steps>."""
+    made = [f"{fx.PIXELS}, h AS (SELECT max(y) + 1 h FROM pixels), g0 AS MATERIALIZED (SELECT y, x, s, CASE WHEN id % 40 = 0 THEN label ELSE -1 END cl FROM pixels)"]
+    for i in range(steps):
+        made.append(f"""sent{i} AS (SELECT (y + dy + h) % h ny, (x + dx + 25) % 25 nx, s, cl FROM g{i}, h, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) v(dy, dx) WHERE cl >= 0),
+met{i} AS (SELECT g.y, g.x, min({{'d': sqrt(list_sum(list_transform(range(1, 65), lambda i: (g.s[i] - t.s[i]) * (g.s[i] - t.s[i])))), 'c': t.cl}}) m FROM g{i} g JOIN sent{i} t ON g.y = t.ny AND g.x = t.nx WHERE g.cl < 0 GROUP BY ALL),
+g{i + 1} AS MATERIALIZED (SELECT g.y, g.x, g.s, coalesce(m.m.c, g.cl) cl FROM g{i} g LEFT JOIN met{i} m ON m.y = g.y AND m.x = g.x)""")
+    return ", ".join(made)
+
+
+@query(f"WITH {_growth_sql(3)} " + " UNION ALL ".join(f"SELECT {i} step, y, x, cl::INT cluster FROM g{i}" for i in range(4)))
+def growth_frames(spark, sf_dir):
+    """The frames of regions that grow for three steps."""
+    p = fx.pixels(spark, sf_dir)
+    height = (p.agg(F.max("y")).first()[0] or 0) + 1
+    labels = p.select("y", "x", "spectrum", F.when(F.col("id") % 40 == 0, F.col("label")).otherwise(-1).alias("cluster"))
+    return spectral.growth_frames(labels, fx.PIXELS_WIDE, height, 3).withColumn("cluster", F.col("cluster").cast("int"))
+
+
+def _k_means_sql(rounds):
+    """Centres c0 to c<rounds>, each the means of the last ones' nearest pixels."""
+    made = [f"{fx.PIXELS}, c0 AS (SELECT id::INT c, s cs FROM pixels WHERE id < 10)"]
+    for i in range(rounds):
+        made.append(f"""a{i} AS (SELECT p.id, p.s, min({{'d': sqrt(list_sum(list_transform(range(1, 65), lambda i: (p.s[i] - cs[i]) * (p.s[i] - cs[i])))), 'c': c}}) m FROM pixels p, c{i} GROUP BY ALL),
+l{i} AS (SELECT m.c c, unnest(range(64)) i, unnest(s) v FROM a{i}), m{i} AS (SELECT c, i, avg(v) v FROM l{i} GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(n.cs, c{i}.cs) cs FROM c{i} LEFT JOIN (SELECT c, list(v ORDER BY i) cs FROM m{i} GROUP BY c) n USING (c))""")
+    return ", ".join(made)
+
+
+@query(f"WITH {_k_means_sql(3)} SELECT c AS cluster, round(cs[1], 6) first, round(cs[32], 6) middle, round(cs[64], 6) last FROM c3")
+def k_means_centers(spark, sf_dir):
+    """Centres after three rounds from ten given ones."""
+    centers = spectral.k_means(fx.pixels(spark, sf_dir).select("id", "spectrum"), _assigned(spark, sf_dir)[1], ["id"], rounds=3, still=0.0)
+    return centers.select("cluster", r6(F.col("center")[0], "first"), r6(F.col("center")[31], "middle"), r6(F.col("center")[63], "last"))
+
+
+@query(f"WITH {_growth_sql(5)} SELECT y, x, cl::INT cluster FROM g5")
 def region_growth(spark, sf_dir):
     """Regions grown for five steps from one pixel in forty."""
     p = fx.pixels(spark, sf_dir)
     height = (p.agg(F.max("y")).first()[0] or 0) + 1
     labels = p.select("y", "x", "spectrum", F.when(F.col("id") % 40 == 0, F.col("label")).otherwise(-1).alias("cluster"))
-    return spectral.region_growth(labels, fx.PIXELS_WIDE, height, steps=5).select("y", "x", "cluster")
+    return spectral.region_growth(labels, fx.PIXELS_WIDE, height, steps=5).select("y", "x", F.col("cluster").cast("int").alias("cluster"))
 
 
 @query(f"""WITH {fx.PIXELS}, a AS (SELECT DISTINCT y, x FROM pixels WHERE id % 2 = 0), b AS (SELECT DISTINCT y, x FROM pixels WHERE id % 3 = 0) SELECT * FROM a INTERSECT SELECT * FROM b""")

@@ -151,6 +151,21 @@ def read_scenes(spark: SparkSession, path: str, incoming: list[str] | None = Non
     return lines.mapInPandas(run, ROW)
 
 
+def gathered(pixels: DataFrame, bands: list[str], shape: tuple[int, int] | None = None) -> DataFrame:
+    """Scene rows of wide pixels(scene_id, y, x, spectrum), of that shape or as far as pixels go; missing ones are 0. The
+    scene's name is in its metadata. A scene is one group: it must fit in a worker, as it must to be written as a record."""
+
+    def run(key, f):
+        y, x = f["y"].to_numpy(), f["x"].to_numpy()
+        height, width = shape or (int(y.max()) + 1, int(x.max()) + 1)
+        cube = np.zeros((len(bands), height, width), "<f8")
+        cube[:, y, x] = np.stack(f["spectrum"].to_numpy()).T
+        row = (key[0], {"scene": key[0]}, list(bands), height, width, [plane.tobytes() for plane in cube])
+        return pd.DataFrame([row], columns=["scene_id", "metadata", "bands", "height", "width", "data"])
+
+    return pixels.select("scene_id", "y", "x", "spectrum").groupBy("scene_id").applyInPandas(run, ROW)
+
+
 def pixels(scenes: DataFrame, block: int = 1 << 14) -> DataFrame:
     """Wide pixels of scene rows, so many at a time."""
 

@@ -93,32 +93,67 @@ def decode_tiff(data: bytes) -> np.ndarray:
     return np.frombuffer(body, end + kind).reshape(tags[257][0], tags[256][0])
 
 
-def read_bands(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
-    """(scene_id, band, height, width, data) of a scene's band files ..._Bnn_....TIF; other bands aren't opened."""
+def encode_tiff(a: np.ndarray) -> bytes:
+    """One-sample little-endian TIFF, uncompressed, in one strip."""
+    body = np.ascontiguousarray(a, a.dtype.newbyteorder("<")).tobytes()
+    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
+    height, width = a.shape
+    # Tag, type (3 short, 4 long) and value of each field.
+    fields = ((256, 4, width), (257, 4, height), (258, 3, 8 * a.dtype.itemsize), (259, 3, 1), (262, 3, 1), (273, 4, 8), (277, 3, 1), (278, 4, height), (279, 4, len(body)), (339, 3, kind))
+    body += b"\0" * (len(body) % 2)
+    return struct.pack("<2sHI", b"II", 42, 8 + len(body)) + body + struct.pack("<H", len(fields)) + b"".join(struct.pack("<HHII", tag, code, 1, v) for tag, code, v in fields) + bytes(4)
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """rows(name, content binary) as a file each below a folder, written where the rows are; a task that runs again writes the
+    same files again."""
+
+    def run(part):
+        from pyarrow import fs
+
+        for r in part:
+            system, path = fs.FileSystem.from_uri(f"{folder}/{r.name}")
+            system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with system.open_output_stream(path) as out:
+                out.write(bytes(r.content))
+
+    rows.select("name", "content").foreachPartition(run)
+
+
+def read_bands(spark: SparkSession, path: str, wanted: list[str] | None = None, require_all: bool = False, window: tuple[slice, slice] | None = None) -> DataFrame:
+    """(scene_id, band, height, width, data) of a scene's band files ..._Bnn_....TIF; other bands aren't opened. With
+    `require_all` a scene that lacks a wanted band is an error. `window`: the rows and columns to keep."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*_B[0-9][0-9]*_*.TIF").load(path)
     name = F.element_at(F.split("path", "/"), -1)
     files = files.select(F.regexp_extract(name, r"^(.*?)_B[0-9]+_", 1).alias("scene_id"), F.regexp_extract(name, r"_(B[0-9]+)_", 1).alias("band"), "content")
     if wanted is not None:
         files = files.where(F.col("band").isin(wanted))
+    if wanted is not None and require_all:  # names alone are counted
+        lacks = files.groupBy("scene_id").agg(F.count_distinct("band").alias("n")).where(F.col("n") < len(set(wanted))).first()
+        if lacks:
+            raise ValueError(f"{lacks.scene_id} lacks wanted bands")
 
     def run(frames):
         for f in frames:
-            arrays = [decode_tiff(b) for b in f["content"]]
+            arrays = [decode_tiff(b)[window or ...] for b in f["content"]]
             yield pd.DataFrame({"scene_id": f["scene_id"], "band": f["band"], "height": [a.shape[0] for a in arrays], "width": [a.shape[1] for a in arrays], "data": [a.astype("<f8").tobytes() for a in arrays]})
 
     return files.mapInPandas(run, "scene_id string, band string, height int, width int, data binary")
 
 
 def read_granules(spark: SparkSession, path: str) -> DataFrame:
-    """(granule, y, x, h) of elevation files *_dem.tif, row by row."""
+    """(granule, y, x, h) of elevation files *_dem.tif, in blocks of rows."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*_dem.tif").load(path).select(F.regexp_extract("path", r"([^/]+)_dem\.tif$", 1).alias("granule"), "content")
 
     def run(frames):
         for f in frames:
             for granule, content in zip(f["granule"], f["content"], strict=True):
                 a = decode_tiff(content)
-                for y, row in enumerate(a):
-                    yield pd.DataFrame({"granule": granule, "y": np.int32(y), "x": np.arange(len(row), dtype="int32"), "h": row.astype(float)})
+                step = max(1, (1 << 16) // a.shape[1])
+                for top in range(0, len(a), step):
+                    part = a[top : top + step]
+                    y, x = np.indices(part.shape, "int32")
+                    yield pd.DataFrame({"granule": granule, "y": y.ravel() + np.int32(top), "x": x.ravel(), "h": part.ravel().astype(float)})
 
     return files.mapInPandas(run, "granule string, y int, x int, h double")
 
@@ -133,6 +168,17 @@ def parse_xml(text: str):
     return {root.tag: value(root)}
 
 
+def read_xml(spark: SparkSession, path: str) -> DataFrame:
+    """(path, json) of XML files: parse_xml's elements as JSON."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+
+    def run(frames):
+        for f in frames:
+            yield pd.DataFrame({"path": f["path"], "json": [json.dumps(parse_xml(t)) for t in f["value"]]})
+
+    return files.mapInPandas(run, "path string, json string")
+
+
 def read_spots(spark: SparkSession, path: str, key: str = "world") -> DataFrame:
     """(lon, lat, ts, intensity) of `key \\t lon lat ts intensity` lines. Another key is an error; numbers that don't parse are null."""
     parts = F.split("value", r"[\t ]+")
