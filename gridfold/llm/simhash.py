@@ -160,7 +160,9 @@ def links(classes: DataFrame, most: int = 4, blocks: int = 2) -> DataFrame:
     if radius > 2:
         raise ValueError("balls of at most 2 bits")
     variants = F.flatten(F.array(*[ball(F.col("fp"), b, width, radius) for b in range(blocks)]))
-    emitted = classes.select(F.explode(variants).alias("key"), "fp", "id")
+    # classes are small and their variants many: as many tasks emit them as take them, however few bytes the classes have
+    spread = classes.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    emitted = spread.select(F.explode(variants).alias("key"), "fp", "id")
     dealt = emitted.repartition(F.col("key")).sortWithinPartitions("key", "fp")
 
     def run(batches):
