@@ -7,6 +7,7 @@ same for one tile. A scene is one row on its way to Python, where its bands are
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,43 +19,55 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from gridfold.functions import geodesy, png, tiling
 from gridfold.session import cut
 
-#: Pole of the cubic B-spline's recursive prefilter.
-POLE = np.sqrt(3.0) - 2.0
+# Poles of the recursive prefilters of B-splines by order.
+POLES = {
+    2: (np.sqrt(8.0) - 3.0,),
+    3: (np.sqrt(3.0) - 2.0,),
+    4: (np.sqrt(664.0 - np.sqrt(438976.0)) + np.sqrt(304.0) - 19.0, np.sqrt(664.0 + np.sqrt(438976.0)) - np.sqrt(304.0) - 19.0),
+    5: (np.sqrt(67.5 - np.sqrt(4436.25)) + np.sqrt(26.25) - 6.5, np.sqrt(67.5 + np.sqrt(4436.25)) - np.sqrt(26.25) - 6.5),
+}
 
 
-def spline_coefficients(a: np.ndarray) -> np.ndarray:
-    """Cubic B-spline coefficients along both axes, with mirrored ends: two first-order recursions a line."""
+def spline_coefficients(a: np.ndarray, order: int = 3) -> np.ndarray:
+    """B-spline coefficients along both axes, with mirrored ends: two first-order recursions a line and pole."""
     out = a.astype(float).copy()
     for axis in (0, 1):
         c = np.moveaxis(out, axis, 0)
         n = len(c)
         if n < 2:
             continue
-        c *= 6.0
-        reach = min(n, 40)
-        powers = POLE ** np.arange(reach)
-        if reach < n:
-            first = np.tensordot(powers, c[:reach], 1)
-        else:  # the mirrored sequence in full
-            k = np.arange(1, n - 1)
-            both = POLE**k + POLE ** (2 * n - 2 - k)
-            first = (c[0] + POLE ** (n - 1) * c[-1] + np.tensordot(both, c[1:-1], 1)) / (1 - POLE ** (2 * n - 2))
-        c[0] = first
-        for i in range(1, n):
-            c[i] += POLE * c[i - 1]
-        c[-1] = POLE / (POLE * POLE - 1) * (c[-1] + POLE * c[-2])
-        for i in range(n - 2, -1, -1):
-            c[i] = POLE * (c[i + 1] - c[i])
+        for pole in POLES[order]:
+            c *= (1 - pole) * (1 - 1 / pole)
+            reach = min(n, 60)
+            powers = pole ** np.arange(reach)
+            if reach < n:
+                first = np.tensordot(powers, c[:reach], 1)
+            else:  # the mirrored sequence in full
+                k = np.arange(1, n - 1)
+                both = pole**k + pole ** (2 * n - 2 - k)
+                first = (c[0] + pole ** (n - 1) * c[-1] + np.tensordot(both, c[1:-1], 1)) / (1 - pole ** (2 * n - 2))
+            c[0] = first
+            for i in range(1, n):
+                c[i] += pole * c[i - 1]
+            c[-1] = pole / (pole * pole - 1) * (c[-1] + pole * c[-2])
+            for i in range(n - 2, -1, -1):
+                c[i] = pole * (c[i + 1] - c[i])
     return out
 
 
 def prepared(a: np.ndarray, order: int = 3) -> np.ndarray:
     """What interpolation of this order reads: spline coefficients, or the picture itself."""
-    return spline_coefficients(a) if order == 3 else a.astype(float)
+    return spline_coefficients(a, order) if order in POLES else a.astype(float)
+
+
+def basis(order: int, u: np.ndarray) -> np.ndarray:
+    """The centred B-spline of an order at u."""
+    terms = ((-1) ** j * math.comb(order + 1, j) * np.maximum(u + (order + 1) / 2 - j, 0.0) ** order for j in range(order + 2))
+    return sum(terms) / math.factorial(order)
 
 
 def resample(a: np.ndarray, y: np.ndarray, x: np.ndarray, order: int = 3) -> np.ndarray:
-    """Values of a picture at fractional rows and columns, 0 outside; order 0 nearest, 1 linear, 3 cubic spline."""
+    """Values of a picture at fractional rows and columns, 0 outside; order 0 nearest, 1 linear, 2 to 5 splines."""
     return interpolated(prepared(a, order), y, x, order)
 
 
@@ -65,13 +78,16 @@ def interpolated(source: np.ndarray, y: np.ndarray, x: np.ndarray, order: int =
     if order == 0:
         yi, xi = np.clip(np.rint(y), 0, height - 1).astype(int), np.clip(np.rint(x), 0, width - 1).astype(int)
         return np.where(inside, source[yi, xi], 0.0)
-    if order not in (1, 3):
-        raise ValueError("orders 0, 1 and 3")
+    if order != 1 and order not in POLES:
+        raise ValueError("orders 0 to 5")
 
-    def weights(t: np.ndarray) -> list[np.ndarray]:
+    def weights(at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The first place that counts, and the weights from there on."""
         if order == 1:
-            return [1 - t, t]
-        return [(1 - t) ** 3 / 6, 2 / 3 - t * t * (2 - t) / 2, 2 / 3 - (1 - t) ** 2 * (1 + t) / 2, t**3 / 6]
+            low = np.floor(at)
+            return low.astype(int), [1 - (at - low), at - low]
+        low = np.ceil(at - (order + 1) / 2)
+        return low.astype(int), [basis(order, at - low - k) for k in range(order + 1)]
 
     def mirrored(i: np.ndarray, n: int) -> np.ndarray:
         if n == 1:
@@ -79,20 +95,19 @@ def interpolated(source: np.ndarray, y: np.ndarray, x: np.ndarray, order: int =
         i = np.abs(i) % (2 * n - 2)
         return np.where(i >= n, 2 * n - 2 - i, i)
 
-    yf, xf = np.floor(y).astype(int), np.floor(x).astype(int)
+    (top, down), (left, across) = weights(y), weights(x)
     out = np.zeros(y.shape)
-    low = 0 if order == 1 else -1
-    for dy, wy in enumerate(weights(y - yf), low):
-        row = mirrored(yf + dy, height)
-        for dx, wx in enumerate(weights(x - xf), low):
-            out += wy * wx * source[row, mirrored(xf + dx, width)]
+    for dy, wy in enumerate(down):
+        row = mirrored(top + dy, height)
+        for dx, wx in enumerate(across):
+            out += wy * wx * source[row, mirrored(left + dx, width)]
     return np.where(inside, out, 0.0)
 
 
 def tile_arrays(valid: np.ndarray, sources: list[np.ndarray], y: np.ndarray, x: np.ndarray, order: int = 3):
     """(mask, bands) at fractional rows and columns of a scene: the mask of valid pixels first, and None if none of it is half
-    valid. sources: the bands as `prepared`."""
-    mask = resample(valid, y, x, min(order, 1))
+    valid. valid, sources: the mask and the bands as `prepared`."""
+    mask = interpolated(valid, y, x, order)
     if not (mask > 0.5).any():
         return None
     return mask, [np.where(mask < 0.01, 0.0, interpolated(s, y, x, order)) for s in sources]
@@ -121,7 +136,7 @@ def scene_tiles(bands: list[np.ndarray], transform: list[float], zone: tuple[int
     cell = lambda v, low, span: int(np.floor((v - low) / span * n))
     columns = range(cell(lon.min(), -180.0, 360.0), cell(lon.max(), -180.0, 360.0) + 1)
     rows = range(max(cell(lat.min(), -90.0, 180.0), 0), min(cell(lat.max(), -90.0, 180.0), n - 1) + 1)
-    valid = np.all([b > 0 for b in bands[: masked_by or len(bands)]], 0).astype(float)
+    valid = prepared(np.all([b > 0 for b in bands[: masked_by or len(bands)]], 0), order)
     sources = [prepared(b, order) for b in bands]
     for c in columns:
         for r in rows:
@@ -261,9 +276,10 @@ def halved(picture: np.ndarray) -> np.ndarray:
     return np.concatenate([colour, alpha / 4], 2).round().astype(np.uint8)
 
 
-def zoom_out(images: DataFrame) -> DataFrame:
+def zoom_out(images: DataFrame, smooth: bool = False) -> DataFrame:
     """One level up: a parent's picture from its children's, a missing one transparent; the southern ones are at the bottom.
-    A group is four pictures at most. Metadata is the first child's, without what belongs to a tile."""
+    Children shrink to their even rows and columns, which is what an interpolating spline of any order gives there; `smooth`
+    takes means of four instead. A group is four pictures at most. Metadata is the first child's, without what belongs to a tile."""
     from gridfold.operators.rollup import TILE_FIELDS
 
     up = images.withColumns({"px": tiling.ancestor("long_index", F.lit(1)), "py": tiling.ancestor("lat_index", F.lit(1))})
@@ -275,7 +291,7 @@ def zoom_out(images: DataFrame) -> DataFrame:
         height, width = pictures[0].shape[:2]
         out = np.zeros((height, width, 4), np.uint8)
         for p, x, y in zip(pictures, f["long_index"], f["lat_index"], strict=True):
-            small = halved(p)
+            small = halved(p) if smooth else p[::2, ::2]
             top, left = (0 if y % 2 else height // 2), (width // 2 if x % 2 else 0)
             part = small[: height // 2, : width // 2]
             out[top : top + part.shape[0], left : left + part.shape[1]] = part
@@ -285,14 +301,14 @@ def zoom_out(images: DataFrame) -> DataFrame:
     return up.groupBy("depth", "px", "py", "layer", "ts").applyInPandas(run, IMAGE)
 
 
-def pyramid(images: DataFrame, shallowest: int = 0) -> DataFrame:
+def pyramid(images: DataFrame, shallowest: int = 0, smooth: bool = False) -> DataFrame:
     """All levels up from the images' own; each level is materialised once and grouped by parent."""
     deepest = images.agg(F.max("depth")).first()[0]
     if deepest is None:
         return images
     level, whole = images, images
     for _ in range(deepest - shallowest):
-        level = cut(zoom_out(level))
+        level = cut(zoom_out(level, smooth))
         whole = whole.unionByName(level)
     return whole
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from gridfold.operators import raster, rollup, runs, topology
 from gridfold.plans import fixtures as fx
 from gridfold.plans.registry import query, r6
 from gridfold.session import cut
+from gridfold.sources import codec
 
 _NEIGHBOURS = f"""{fx.ELEVATION}, size_ AS (SELECT max(y) + 1 hh FROM dem),
 n AS (SELECT d.*, u.h up, b.h down, l.h "left", r.h "right" FROM dem d, size_ s JOIN dem u ON u.x = d.x AND u.y = (d.y + hh - 1) % hh JOIN dem b ON b.x = d.x AND b.y = (d.y + 1) % hh
@@ -109,16 +109,63 @@ def quarter_pixels(spark, sf_dir):
     return rollup.quarter_sampled(p, ["id"], 4, 4).select("id", "depth", "long_index", "lat_index", "x", "y", "r")
 
 
+#: Rows of a scene that is cut from the elevation grid.
+TALL = 20
+
+
 def _scenes(spark, sf_dir):
-    """Two small scenes in degrees: the elevation grid as three bands."""
-    dem = fx.elevation(spark, sf_dir).agg(F.sort_array(F.collect_list(F.struct("y", "x", "h"))).alias("c")).first().c
-    height = max(r.y for r in dem) + 1
-    a = np.zeros((height, fx.DEM_WIDE))
-    for r in dem:
-        a[r.y, r.x] = r.h
-    planes = [(a * k).astype("<f8").tobytes() for k in (1.0, 2.0, 3.0)]
-    rows = [(f"s{i}", ["B01", "B02", "B03"], height, fx.DEM_WIDE, [lon, 0.1, 0.0, lat, 0.0, -0.1], planes, {"timestamp": str(1000 + i), "SUN_ELEVATION": "45"}) for i, (lon, lat) in enumerate(((10.0, 20.0), (-60.0, -30.0)))]
-    return spark.createDataFrame(rows, "scene_id string, bands array<string>, height int, width int, transform array<double>, data array<binary>, metadata map<string,string>")
+    """Strips of the elevation grid as scenes in degrees, three bands each, in places of their own."""
+    dem = fx.elevation(spark, sf_dir).withColumn("k", F.floor(F.col("y") / TALL))
+    p = dem.select(F.concat(F.lit("s"), "k").alias("scene_id"), (F.col("y") % TALL).alias("y"), "x", F.array("h", F.col("h") * 2, F.col("h") * 3).alias("spectrum"))
+    k = F.substring("scene_id", 2, 9).cast("int")
+    transform = F.array((k * 17) % 300 - 150.0, F.lit(0.1), F.lit(0.0), (k * 11) % 120 - 50.0, F.lit(0.0), F.lit(-0.1))
+    meta = F.create_map(F.lit("timestamp"), (k + 1000).cast("string"), F.lit("SUN_ELEVATION"), F.lit("45"))
+    return codec.gathered(p, ["B01", "B02", "B03"]).withColumns({"transform": transform, "metadata": meta})
+
+
+_PLACED = f"""{fx.ELEVATION}, px AS (SELECT y // {TALL} k, y % {TALL} y, x, h FROM dem), sc AS (SELECT k, max(y) + 1 hh, max(x) + 1 ww, (k * 17) % 300 - 150e0 lon0, (k * 11) % 120 - 50e0 lat0 FROM px GROUP BY k),
+tl AS (SELECT sc.*, floor((lon0 + 180) / 360e0 * 128)::INT + dc c, floor((lat0 + 90) / 180e0 * 128)::INT - dr r FROM sc, range(0, 4) a(dc), range(0, 4) b(dr)),
+at_ AS (SELECT k, c, r, i, j, hh, ww, (c / 128e0 * 360e0 - 180e0 + (i + 0.5e0) / 32e0 * (360e0 / 128e0) - lon0) / 0.1e0 - 0.5e0 u, (r / 128e0 * 180e0 - 90e0 + (1 - (j + 0.5e0) / 16e0) * (180e0 / 128e0) - lat0) / -0.1e0 - 0.5e0 v FROM tl, range(0, 32) a(i), range(0, 16) b(j)),
+near AS (SELECT *, floor(u)::INT x0, floor(v)::INT y0, u - floor(u) tx, v - floor(v) ty FROM at_ WHERE u BETWEEN 0 AND ww - 1 AND v BETWEEN 0 AND hh - 1),
+w AS (SELECT k, c, r, i, j, dy, dx, CASE dy WHEN 0 THEN 1 - ty ELSE ty END * CASE dx WHEN 0 THEN 1 - tx ELSE tx END w, x0 + dx x, y0 + dy y FROM near, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(dy, dx)),
+made AS (SELECT k, c, r, i, j, sum(w * coalesce(h, 0)) b1, sum(w * CASE WHEN h > 0 THEN 1e0 ELSE 0e0 END) mask FROM w LEFT JOIN px USING (k, x, y) GROUP BY ALL)"""
+
+
+@query(f"""WITH {_PLACED}, kept AS (SELECT k, c, r FROM made GROUP BY ALL HAVING max(mask) > 0.5e0)
+SELECT 's' || k scene_id, c long_index, r lat_index, j::INT y, i::INT x, round(CASE WHEN mask < 0.01e0 THEN 0 ELSE b1 END, 6) b1, round(mask, 6) mask FROM made JOIN kept USING (k, c, r) WHERE mask > 1e-9""")
+def linear_tiles(spark, sf_dir):
+    """Pixels of scenes cut into tiles of depth 6 by linear interpolation; tiles without a half valid pixel aren't there."""
+    tiles = raster.make_tiles(_scenes(spark, sf_dir), depth=6, width=32, height=16, order=1)
+    b1, mask = F.col("spectrum")[0], F.col("spectrum")[3]
+    p = codec.pixels(tiles.select(F.concat_ws(" ", "scene_id", "long_index", "lat_index").alias("scene_id"), "metadata", "bands", F.lit(16).alias("height"), F.lit(32).alias("width"), "data"))
+    at = F.split("scene_id", " ")
+    return p.where(mask > 1e-9).select(at[0].alias("scene_id"), at[1].cast("long").alias("long_index"), at[2].cast("long").alias("lat_index"), "y", "x", r6(b1, "b1"), r6(mask, "mask"))
+
+
+_OPAQUE = f"{fx.ELEVATION}, px AS (SELECT y // {TALL} k, y % {TALL} y, x, trunc(h / 50 * 255)::INT v, CASE WHEN h > 10 THEN 255 ELSE 0 END a FROM dem)"
+
+
+@query(f"""WITH {_OPAQUE}, up AS (SELECT k // 2 k, y // 2 + {TALL // 2} y, x // 2 + k % 2 * 25 x, sum(v * a) / greatest(sum(a), 1e-9) v, sum(a) / 4 a FROM px GROUP BY ALL)
+SELECT 6 AS "depth", k::BIGINT long_index, y::INT y, x::INT x, v r, v b, a FROM px WHERE a > 0 UNION ALL SELECT 5, k::BIGINT, y::INT, x::INT, round_even(v, 0)::INT, round_even(v, 0)::INT, round_even(a, 0)::INT FROM up WHERE round_even(a, 0) > 0""")
+def smooth_pyramid(spark, sf_dir):
+    """Pictures of tiles and of their parents, which hold them at half size by means of four, weighted by opacity."""
+    return _pyramid(spark, sf_dir, smooth=True)
+
+
+@query(f"""WITH {_OPAQUE} SELECT 6 AS "depth", k::BIGINT long_index, y::INT y, x::INT x, v r, v b, a FROM px WHERE a > 0
+UNION ALL SELECT 5, k // 2, (y // 2 + {TALL // 2})::INT, (x // 2 + k % 2 * 25)::INT, v, v, a FROM px WHERE a > 0 AND y % 2 = 0 AND x % 2 = 0""")
+def sampled_pyramid(spark, sf_dir):
+    """Pictures of tiles and of their parents, which hold the even rows and columns of theirs."""
+    return _pyramid(spark, sf_dir, smooth=False)
+
+
+def _pyramid(spark, sf_dir, smooth):
+    dem, h = fx.elevation(spark, sf_dir), F.col("h")
+    p = dem.select(F.floor(F.col("y") / TALL).cast("string").alias("scene_id"), (F.col("y") % TALL).alias("y"), "x", F.array(h, F.when(h > 10, 1.0).otherwise(0.0)).alias("spectrum"))
+    scenes = codec.gathered(p, ["B01", "MASK"], (TALL, fx.DEM_WIDE))
+    tiles = scenes.select("scene_id", F.lit(6).alias("depth"), F.col("scene_id").cast("long").alias("long_index"), F.lit(0).cast("long").alias("lat_index"), "bands", "data", "metadata")
+    images = cut(raster.render(tiles, [raster.Layer("HEIGHT", ("B01",), "grey", 0.0, 50.0)], fx.DEM_WIDE, TALL))
+    return raster.image_pixels(raster.pyramid(images, 5, smooth), ["depth", "long_index"]).where("a > 0").drop("g")
 
 
 @query()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridfold.functions import geodesy, png, radiometry, tiling
 from gridfold.operators import explorer, raster, topology
+from gridfold.sources import files
 
 
 def one(spark, column):
@@ -112,3 +113,32 @@ def test_basins_find_the_pits():
     h = np.minimum(np.hypot(y - 10, x - 10), np.hypot(y - 30, x - 28) + 3)
     label, found = topology.basin_regions(h, regions=3)
     assert found >= 1 and label[10, 10] == 1
+
+
+@pytest.mark.parametrize("order", [2, 3, 4, 5])
+@pytest.mark.parametrize("n", [2, 3, 7, 90])
+def test_splines_of_all_orders(order, n):
+    """Against the system of equations that makes the spline pass through all samples, with mirrored ends."""
+    rng = np.random.default_rng(order * n)
+    values = rng.normal(size=n)
+
+    def row(at):
+        out = np.zeros(n)
+        for k in range(int(at) - 8, int(at) + 9):
+            m = abs(k) % (2 * n - 2)
+            out[2 * n - 2 - m if m >= n else m] += raster.basis(order, np.array([at - k]))[0]
+        return out
+
+    c = np.linalg.solve(np.array([row(i) for i in range(n)]), values)
+    assert np.allclose(raster.spline_coefficients(values[:, None], order)[:, 0], c)
+    at = np.r_[np.arange(n), rng.uniform(0, n - 1, 20)]
+    got = raster.resample(values[:, None], at[:, None], np.zeros((len(at), 1)), order)[:, 0]
+    assert np.allclose(got, [row(a) @ c for a in at])
+    assert np.allclose(got[:n], values)
+
+
+@pytest.mark.parametrize("kind", ["<u1", "<i2", "<u2", "<f4", "<f8"])
+def test_tiffs_come_back(kind):
+    a = np.arange(15).reshape(3, 5).astype(kind)
+    back = files.decode_tiff(files.encode_tiff(a))
+    assert back.dtype == a.dtype and (back == a).all()
