@@ -91,6 +91,35 @@ def false_colour(wide: DataFrame, channels: dict[str, str], bands: list[str], lo
     return rows.select("y", "x", *colours, F.when(_has_data(used), 255).otherwise(0).alias("a"))
 
 
+def respond(request: dict, wide: DataFrame, scenes: DataFrame, bands: list[str], shape: tuple[int, int]) -> DataFrame:
+    """What a request of text parameters asks of a scene by `command`: bandNames, dimensions, json, spectrum, scatter or image,
+    the last four within corners x1, y1, x2, y2 of a scene of shape (height, width). spectrum takes log; scatter horizontal
+    and vertical; image red, green, blue, low and high. No command, another one or corners that aren't numbers give one row
+    with a message. scenes has height, width, depth and bands; wide a column a band."""
+    command = request.get("command")
+    say = lambda text: wide.sparkSession.createDataFrame([(text,)], "message string")
+    if command is None:
+        return say("Missing command.")
+    if command in ("bandNames", "dimensions"):
+        return dimensions_json(scenes).select("scene_id", "band_names" if command == "bandNames" else command)
+    if command not in ("json", "spectrum", "scatter", "image"):
+        return say(f'Unrecognized command "{command}".')
+    try:
+        corners = [int(request[k]) for k in ("x1", "y1", "x2", "y2")]
+    except (KeyError, TypeError, ValueError):
+        return say("Corners must be whole numbers.")
+    part = wide.where(in_rectangle(*corners, shape[1], shape[0]))
+    if command == "json":
+        return rectangle_json(part.select("y", "x", F.array(*bands).alias("spectrum")), bands)
+    if command == "spectrum":
+        cells = F.array(*[F.struct(F.lit(b).alias("band"), F.col(b).alias("value")) for b in bands])
+        return spectrum(part.select(F.explode(cells).alias("c_")).select("c_.*"), request.get("log") in ("true", "1"))
+    if command == "scatter":
+        return scatter(part, request["horizontal"], request["vertical"], bands)
+    channels = {"r": request["red"], "g": request["green"], "b": request["blue"]}
+    return false_colour(part, channels, bands, float(request.get("low", 0)), float(request.get("high", 0)))
+
+
 def rectangle_json(pixels: DataFrame, bands: list[str], metadata: str = "{}") -> DataFrame:
     """One row: {"bands", "metadata", "picture", "shape"} of a rectangle's pixels(y, x, spectrum), picture[x][y][band]."""
     columns = pixels.groupBy("x").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "spectrum"))), lambda s: s["spectrum"]).alias("column"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridfold.operators.bands import lit
 from gridfold.session import cut
 
 
@@ -29,6 +30,14 @@ def labelled(classes: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def training_set(classes: dict[str, DataFrame], places: list[int], most: int = 5000, seed: int = 1) -> DataFrame:
+    """(id, class, label, features): of each class's pixels(id, spectrum) that are lit, the bands at these places, as many of
+    each class as of the first one in name order."""
+    rows = labelled({name: pixels.where(lit(F.col("spectrum"))) for name, pixels in classes.items()})
+    features = F.array(*[F.get("spectrum", F.lit(i)) for i in places])
+    return balanced(rows, most, seed).select("id", "class", "label", features.alias("features"))
+
+
 def text_lines(rows: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """'%-12.5f ... %-d': a row of aligned numbers and the class."""
     return rows.select(F.concat_ws(" ", F.transform(features, lambda v: F.format_string("%-12.5f", v)), F.format_string("%d", F.col(label).cast("int"))).alias("value"))

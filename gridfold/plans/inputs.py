@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from gridfold.functions import radiometry as rad
-from gridfold.operators import bands, explorer, footprints, raster, serving, topology, training
+from gridfold.operators import bands, clusters, explorer, footprints, raster, serving, topology, training
 from gridfold.plans import fixtures as fx
 from gridfold.plans.maps import _placed
-from gridfold.plans.registry import query, r6
+from gridfold.plans.registry import ORACLES, query, r6
+from gridfold.plans.spectra import _WIDE, NAMES, _wide
 from gridfold.session import shared_folder
 from gridfold.sources import codec, files
 from gridfold.sources.store import Store
@@ -278,3 +279,60 @@ def rendered_pixels(spark, sf_dir):
     pixels = raster.image_pixels(read.select(F.regexp_extract("path", r"([^/]+)\.png$", 1).alias("key"), F.col("content").alias("png")), ["key"])
     # cells without a part have no row in the SQL
     return pixels.withColumn("place", F.substring("key", 5, 5)).join(p.select(F.concat(F.lit("0"), F.substring("scene_id", 2, 4)).alias("place"), "y", "x"), ["place", "y", "x"], "left_semi").drop("place")
+
+
+@query("SELECT n_name AS name, (n_nationkey * 100)::BIGINT bytes FROM nation WHERE n_nationkey > 10")
+def listed_files(spark, sf_dir):
+    """Files of more than a thousand bytes, by name, unread."""
+    where = _folder(spark, "listed")
+    nations = fx.table(spark, sf_dir, "nation")
+    files.write_files(nations.select(F.concat("n_name", F.lit(".serialized")).alias("name"), F.repeat(F.lit("x"), (F.col("n_nationkey") * 100).cast("int")).cast("binary").alias("content")), where)
+    return files.listed(spark, where, 1000)
+
+
+@query(ORACLES["cluster_statistics"])
+def model_statistics(spark, sf_dir):
+    """Statistics of points by the centres of a clustering model's file."""
+    listed = "".join(f'<Cluster id="{c}"><Array n="2" type="real">{-150 + c * 33} {c * 37 % 120 - 60}</Array></Cluster>' for c in range(10))
+    text = f'<PMML xmlns="http://www.dmg.org/PMML-4_1"><ClusteringModel numberOfClusters="10"><ClusteringField field="lon"/><ClusteringField field="lat"/>{listed}</ClusteringModel></PMML>'
+    model = files.parse_cluster_model(text)
+    centers = spark.createDataFrame([(int(i), *c) for i, c in zip(model["ids"], model["centers"], strict=True)], "cluster int, clon double, clat double")
+    weight = rad.superintensity(F.col("intensity"))
+    stats = clusters.statistics(clusters.assign(fx.clustered(spark, sf_dir).withColumn("weight", weight), centers))
+    return stats.select("cluster", "n", F.round("total", 4).alias("total"), "highest", r6("rms", "rms"), r6("weighted_rms", "weighted_rms"), "ts")
+
+
+@query(f"WITH {fx.ELEVATION} SELECT CASE WHEN h < 20 THEN 'water' ELSE 'land' END AS \"class\", (h < 20)::INT label, y, x::DOUBLE f0, h f1 FROM dem WHERE y % 4 <> 1")
+def training_rows(spark, sf_dir):
+    """A training set of two classes: lit pixels, two of their bands, no class with more than the first has."""
+    dem = fx.elevation(spark, sf_dir)
+    value = lambda c: F.when(F.col("y") % 4 == 1, 0.0).otherwise(c)
+    p = dem.select((F.col("y") * 1000 + F.col("x")).alias("id"), "h", F.array(value(F.col("h")), value(F.lit(1.0)), value(F.col("x").cast("double"))).alias("spectrum"))
+    rows = training.training_set({"water": p.where("h < 20"), "land": p.where("h >= 20")}, [2, 0], most=1 << 40)
+    return rows.select("class", "label", F.floor(F.col("id") / 1000).cast("int").alias("y"), F.col("features")[0].alias("f0"), F.col("features")[1].alias("f1"))
+
+
+@query(f"""WITH {_WIDE}, part AS (SELECT * FROM wide WHERE x BETWEEN 3 AND 9 AND y BETWEEN 1 AND 6)
+SELECT 'scatter' command, round(B01 - B02, 6) a, round(B03 / 2, 6) b, NULL message FROM part WHERE B01 <> 0 AND B02 <> 0 AND B03 <> 0
+UNION ALL SELECT 'image', r, CASE WHEN B03 <> 0 THEN 255 ELSE 0 END, NULL FROM (SELECT *, least(greatest(floor(B01 / 200 * 256), 0), 255) r FROM part)
+UNION ALL SELECT NULL, NULL, NULL, 'Missing command.' UNION ALL SELECT 'paint', NULL, NULL, 'Unrecognized command "paint".'""")
+def explored_requests(spark, sf_dir):
+    """Answers of one scene to requests by command, with messages for a missing and an unknown one."""
+    wide = _wide(spark, sf_dir)
+    scenes = spark.createDataFrame([("s", 1 << 20, fx.PIXELS_WIDE, 12, NAMES[:12])], "scene_id string, height int, width int, depth int, bands array<string>")
+    box = {"x1": "10", "y1": "7", "x2": "3", "y2": "1"}
+    ask = lambda r: explorer.respond(r, wide, scenes, NAMES[:12], (1 << 20, fx.PIXELS_WIDE))
+    row = lambda df, command, a=None, b=None, message=None: df.select(F.lit(command).alias("command"), *[(F.lit(None) if c is None else c).cast(k).alias(n) for n, k, c in (("a", "double", a), ("b", "double", b), ("message", "string", message))])
+    parts = [
+        row(ask(box | {"command": "scatter", "horizontal": "B01 - B02", "vertical": "B03 / 2"}), "scatter", F.round("horizontal", 6), F.round("vertical", 6)),
+        row(ask(box | {"command": "image", "red": "B01", "green": "B03", "blue": "B01", "low": "0", "high": "200"}), "image", F.col("r"), F.col("a")),
+        row(ask(box), None, message=F.col("message")),
+        row(ask({"command": "paint"}), "paint", message=F.col("message")),
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 7")
+def one_row(spark, sf_dir):
+    """The row of a key, whose absence is an error."""
+    return serving.one(fx.table(spark, sf_dir, "customer"), "c_name", "Customer#000000007").select("c_custkey", "c_name")

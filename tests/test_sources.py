@@ -1,5 +1,6 @@
 """Round trips of the sources and sinks."""
 
+import math
 import struct
 
 import numpy as np
@@ -141,3 +142,43 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     q = ingest.tile_counts(ingest.bright_stream(ingest.arriving(spark, f"{tmp_path}/in", points.schema), 30.0), 4).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == want.count()
+
+
+def test_band_files_require_all_and_take_windows(spark, tmp_path):
+    a = np.arange(12.0).reshape(3, 4)
+    names = ["s1_B01_L1T.TIF", "s1_B02_L1T.TIF", "s2_B01_L1T.TIF"]
+    files.write_files(spark.createDataFrame([(n, bytearray(files.encode_tiff(a))) for n in names], "name string, content binary"), f"file://{tmp_path}/r")
+    rows = files.read_bands(spark, f"file://{tmp_path}/r", ["B01"], require_all=True, window=(slice(1, 3), slice(0, 2))).collect()
+    assert sorted(r.scene_id for r in rows) == ["s1", "s2"]
+    assert all((r.height, r.width) == (2, 2) and np.frombuffer(r.data).tolist() == [4.0, 5.0, 8.0, 9.0] for r in rows)
+    with pytest.raises(ValueError, match="s2"):
+        files.read_bands(spark, f"file://{tmp_path}/r", ["B01", "B02"], require_all=True)
+
+
+def test_gathered_scenes_fill_gaps_with_zeros(spark):
+    p = spark.createDataFrame([("a", 0, 1, [5.0, 6.0])], "scene_id string, y int, x int, spectrum array<double>")
+    whole = codec.gathered(p, ["B01", "B02"], (2, 2)).first()
+    assert (whole.height, whole.width, whole.metadata) == (2, 2, {"scene": "a"})
+    assert [np.frombuffer(b).tolist() for b in whole.data] == [[0.0, 5.0, 0.0, 0.0], [0.0, 6.0, 0.0, 0.0]]
+    assert codec.gathered(p.limit(0), ["B01"]).count() == 0
+
+
+def test_unknown_irradiance_is_null(spark):
+    from gridfold.functions import radiometry
+
+    rows = spark.createDataFrame([(True, 1, 8.0, 1.0, 0.0, 1, 90.0), (False, 1, 8.0, 1.0, 0.0, 1, 90.0)], "hyperspectral boolean, number int, value double, factor double, offset double, day int, elevation double")
+    table = spark.createDataFrame([(True, 1, 2.0)], "hyperspectral boolean, number int, irradiance double")
+    got = {r.hyperspectral: r.corrected for r in radiometry.corrected(rows, table).collect()}
+    assert got[False] is None and got[True] == pytest.approx(math.pi * 0.9832**2 * 4)
+
+
+def test_commands_without_an_answer(spark):
+    from gridfold.operators import serving
+
+    images = spark.createDataFrame([(1, 0, 0, "RGB", 5, "x", "{}"), (1, 0, 0, "RGB", 3, "y", "{}"), (1, 0, 0, "RGB", 1, None, "{}")], "depth int, long_index long, lat_index long, layer string, ts long, rgba string, metadata string")
+    ask = lambda r: serving.respond(r, images, images, images)
+    tile = {"depth": "1", "long": "0", "lat": "0"}
+    assert [r.ts for r in ask(tile).collect()] == [3]
+    assert [r.ts for r in ask(tile | {"command": "images"}).collect()] == [3, 5]
+    assert ask(tile | {"command": "imageList"}).count() == 2 and ask({"command": "image", "depth": "?"}).count() == 0
+    assert ask({"command": "test"}).first().message == "I'm alive." and ask({"command": "x"}).first().message == 'Unrecognized command "x".'
