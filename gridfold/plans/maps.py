@@ -153,8 +153,8 @@ def first_image(spark, sf_dir):
 
 @query(f"""WITH {_IMAGES} SELECT x long_index, y lat_index, max_by(r, ts)::INT r, max_by(g, ts)::INT g, max_by(b, ts)::INT b, max_by(a, ts)::INT a FROM images WHERE a > 0 GROUP BY ALL""")
 def composite(spark, sf_dir):
-    """Images of a tile painted over each other in time order."""
-    return serving.composite(_images(spark, sf_dir), ["long_index", "lat_index"])
+    """Images of a tile painted over each other in time order; at equal times the first of the table stays, as in the SQL read in that order."""
+    return serving.composite(_images(spark, sf_dir), ["long_index", "lat_index"], ("id",))
 
 
 @query(f"""WITH {fx.POINTS} SELECT id, intensity FROM points WHERE intensity > 20 AND intensity < 60 AND id % 3 <> 0""")

@@ -82,6 +82,26 @@ def test_footprint_across_the_antimeridian(spark):
     assert {t.long_index for t in footprints.tiles_of(scenes, 5).collect()} == {0, 63}
 
 
+def test_composite_of_equal_times(spark, tmp_path):
+    import duckdb
+
+    from gridfold.plans.catalog import ORACLES, QUERIES
+    from gridfold.plans.maps import _images
+
+    # at the last second of each place come several images, of any order of intensity; some have no intensity
+    path = str(tmp_path / "events.parquet")
+    duckdb.sql(f"""copy (select i event_id, timestamp '2024-01-01 10:00:00' + to_microseconds(((i // 40) * 1000000 + i % 40)::bigint) ts, (i % 3)::bigint user_id, 'view' event_type,
+      case when i % 11 <> 1 then (i * 37 % 101)::double end "value", '{{"k": 1}}' props from range(1, 400) t(i)) to '{path}' (format parquet)""")
+    duck = duckdb.connect()
+    duck.sql(f"create view events as select * from '{path}'")
+    names = ["long_index", "lat_index", "r", "g", "b", "a"]
+    want = duck.sql(f"select {', '.join(names)} from ({ORACLES['composite']})").fetchall()
+    got = lambda df: sorted(tuple(r[n] for n in names) for r in df.collect())
+    assert got(QUERIES["composite"](spark, str(tmp_path))) == sorted(want) and len(want) > 2
+    backwards = _images(spark, str(tmp_path)).orderBy(F.desc("id"))
+    assert got(serving.composite(backwards, ["long_index", "lat_index"], ("id",))) == sorted(want)
+
+
 def test_parents_take_the_first_child(spark):
     tiles = spark.createDataFrame([(3, 4, 2, {"tileName": "a", "k": "first"}), (3, 5, 3, {"k": "second"})], "depth int, long_index long, lat_index long, metadata map<string,string>")
     r = rollup.parents(tiles, []).first()
