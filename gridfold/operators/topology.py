@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 
 def rolled(value: Column, by: int, keys: list[str], axis: str) -> Column:
-    """Value that stands `by` places before along the axis, around the ends: one window over each line of the grid."""
-    line = W.partitionBy(*keys).orderBy(axis)
-    whole = line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    if abs(by) == 1:
-        shifted = F.lag(value, 1).over(line) if by > 0 else F.lead(value, 1).over(line)
-        return F.coalesce(shifted, F.last(value).over(whole) if by > 0 else F.first(value).over(whole))
-    listed = F.collect_list(value).over(whole)
-    place = F.row_number().over(line) - 1
-    return F.get(listed, F.pmod(place - by, F.size(listed)))
+    """Value that stands `by` places before along the axis, around the ends. Beside the row `by` places away only the far end's
+    last `by` values are looked up, so a row never carries its line."""
+    lines, ahead, k = W.partitionBy(*keys), (F.asc, F.desc) if by > 0 else (F.desc, F.asc), abs(by)
+    line = lines.orderBy(ahead[0](axis))
+    back = lines.orderBy(ahead[1](axis)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    place, size = F.row_number().over(line) - 1, F.count(F.lit(1)).over(lines)
+    from_end = size - F.pmod(place - k, size)
+    around = F.coalesce(*[F.when(from_end == j, F.nth_value(value, j).over(back)) for j in range(1, k + 1)])
+    return F.when(place < k, around).otherwise(F.lag(value, k).over(line))
 
 
 def neighbours(grid: DataFrame, value: str = "h") -> DataFrame:

@@ -129,6 +129,23 @@ def test_wrapped_neighbours_against_numpy(spark):
         assert r.gy == gy[r.y, r.x] and abs(r.mean5 - mean5[r.y, r.x]) < 1e-9 and r.cx == cx[r.y, r.x]
 
 
+def test_long_arms_carry_no_lines(spark):
+    """Neighbours beyond the first, with and without a height, on lines shorter than the arm too; nothing gathers a line."""
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 50, (4, 7)).astype(float)
+    h[1, 2] = h[3, 6] = h[0, 0] = np.nan
+    cells = [("g", y, x, None if np.isnan(h[y, x]) else float(h[y, x])) for y in range(4) for x in range(7)]
+    grid = spark.createDataFrame(cells, "granule string, y int, x int, h double")
+    for by in (1, -1, 2, -2, 5, -5, 9):
+        for axis, keys, k in (("y", ["granule", "x"], 0), ("x", ["granule", "y"], 1)):
+            made = grid.withColumn("r", topology.rolled(F.col("h"), by, keys, axis))
+            assert "collect_list" not in made._jdf.queryExecution().optimizedPlan().toString()
+            want = np.roll(h, by, k)
+            for r in made.collect():
+                assert r.r == want[r.y, r.x] or (r.r is None and np.isnan(want[r.y, r.x])), (by, axis, r)
+    assert "collect_list" not in topology.classified(grid, arm=5)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_utm_scene_in_tiles(spark):
     zone, northern = 33, True
     lon, lat = np.meshgrid(np.linspace(12.2, 17.8, 7), np.linspace(-60, 70, 9))
