@@ -49,27 +49,40 @@ def boxes(scenes: DataFrame) -> DataFrame:
     return scenes.withColumns({"west": F.array_min(lon), "east": F.array_max(lon), "south": F.array_min(lat), "north": F.array_max(lat)})
 
 
+def _place(v: Column, low: float, span: float, n: int) -> Column:
+    return F.floor((v - low) / span * n)
+
+
 def tiles_of(scenes: DataFrame, depth: int) -> DataFrame:
     """Each scene with every tile that its bounding box meets."""
     n = 2 << depth
-    at = lambda v, low, span: F.floor((v - low) / span * n)
     b = boxes(scenes)
-    x = F.sequence(at(F.col("west"), -180.0, 360.0), at(F.col("east"), -180.0, 360.0))
-    y = F.sequence(F.greatest(at(F.col("south"), -90.0, 180.0), F.lit(0)), F.least(at(F.col("north"), -90.0, 180.0), F.lit(n - 1)))
+    x = F.sequence(_place(F.col("west"), -180.0, 360.0, n), _place(F.col("east"), -180.0, 360.0, n))
+    y = F.sequence(F.greatest(_place(F.col("south"), -90.0, 180.0, n), F.lit(0)), F.least(_place(F.col("north"), -90.0, 180.0, n), F.lit(n - 1)))
     return b.withColumn("long_index", F.explode(x)).withColumn("lat_index", F.explode(y)).withColumn("long_index", F.pmod("long_index", F.lit(n)))
 
 
 def overlapping(scenes: DataFrame, depth: int = 6) -> DataFrame:
     """Pairs (first, second) where a corner of the second's box lies in the first's, half-open: boxes meet by tile, so that
-    only scenes that share a tile are compared. Boxes that contain or cross each other without such a corner aren't pairs."""
-    t = tiles_of(scenes, depth).select("scene_id", "west", "east", "south", "north", "long_index", "lat_index")
-    a = t.select(*[F.col(c).alias(f"a_{c}") for c in ("scene_id", "west", "east", "south", "north")], "long_index", "lat_index")
-    b = t.select(*[F.col(c).alias(f"b_{c}") for c in ("scene_id", "west", "east", "south", "north")], "long_index", "lat_index")
+    only scenes that share a tile are compared. Boxes that contain or cross each other without such a corner aren't pairs.
+
+    A pair comes from one tile alone, that of the south-west corner of what the boxes share, so pairs need no distinct and
+    aren't shuffled; repeated scenes go first. scene_id names a box. Tiles go on past the antimeridian as unwrapped boxes do.
+    """
+    n = 2 << depth
+    x = lambda v: _place(v, -180.0, 360.0, n)
+    y = lambda v: _place(v, -90.0, 180.0, n)
+    names = ["scene_id", "west", "east", "south", "north"]
+    once = boxes(scenes).select(*names).dropDuplicates(["scene_id"])
+    t = once.withColumn("x", F.explode(F.sequence(x(F.col("west")), x(F.col("east"))))).withColumn("y", F.explode(F.sequence(y(F.col("south")), y(F.col("north")))))
+    a = t.select(*[F.col(c).alias(f"a_{c}") for c in names], "x", "y")
+    b = t.select(*[F.col(c).alias(f"b_{c}") for c in names], "x", "y")
     lon_in = lambda v: (F.col(v) >= F.col("a_west")) & (F.col(v) < F.col("a_east"))
     lat_in = lambda v: (F.col(v) >= F.col("a_south")) & (F.col(v) < F.col("a_north"))
     inside = (lon_in("b_west") | lon_in("b_east")) & (lat_in("b_south") | lat_in("b_north"))
-    met = a.join(b, ["long_index", "lat_index"]).where((F.col("a_scene_id") != F.col("b_scene_id")) & inside)
-    return met.select(F.col("a_scene_id").alias("first"), F.col("b_scene_id").alias("second")).distinct()
+    here = (F.col("x") == x(F.greatest("a_west", "b_west"))) & (F.col("y") == y(F.greatest("a_south", "b_south")))
+    met = a.join(b, ["x", "y"]).where((F.col("a_scene_id") != F.col("b_scene_id")) & inside & here)
+    return met.select(F.col("a_scene_id").alias("first"), F.col("b_scene_id").alias("second"))
 
 
 def total_radiance(columns: list[str]) -> Column:

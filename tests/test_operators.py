@@ -82,6 +82,25 @@ def test_footprint_across_the_antimeridian(spark):
     assert {t.long_index for t in footprints.tiles_of(scenes, 5).collect()} == {0, 63}
 
 
+def test_overlaps_come_from_one_tile(spark):
+    """Small, wide and repeated boxes, on tile edges, at the poles and across the antimeridian, against brute force; pairs aren't shuffled."""
+    rng = np.random.default_rng(5)
+    wests, souths = rng.integers(-1800, 1800, 120) / 10, rng.integers(-900, 860, 120) / 10
+    wests[:60], souths[:60] = rng.integers(-40, 40, 60) / 8, rng.integers(-20, 20, 60) * 1.40625
+    sizes = rng.choice([0.5, 1.0, 2.8125, 40.0], (120, 2))
+    turn = lambda v: float(v - 360 if v > 180 else v)
+    rows = [(i, [(turn(x), float(y)), (turn(x + w), float(y)), (turn(x + w), float(min(y + h, 90))), (turn(x), float(min(y + h, 90)))]) for i, (x, y, (w, h)) in enumerate(zip(wests, souths, sizes, strict=True))]
+    scenes = spark.createDataFrame(rows + rows[::7], "scene_id long, corners array<struct<lon: double, lat: double>>")
+    made = footprints.overlapping(scenes)
+    box = {r.scene_id: (r.west, r.east, r.south, r.north) for r in footprints.boxes(scenes).collect()}
+    want = set()
+    for i, (w, e, s, n) in box.items():
+        want |= {(i, j) for j, b in box.items() if i != j and any(w <= v < e for v in b[:2]) and any(s <= v < n for v in b[2:])}
+    assert sorted(map(tuple, made.collect())) == sorted(want) and len(want) > 100
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join")]
+
+
 def test_composite_of_equal_times(spark, tmp_path):
     import duckdb
 
