@@ -40,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def held(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """As cut, but a table of at most so many rows becomes part of the plan and needs no files."""
+    rows = df.limit(most + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= most else cut(df)
+
+
 def written(df: DataFrame) -> DataFrame:
     """As cut, but as Parquet: for wide rows of which later steps read only some columns. The files go when the driver ends."""
     spark = df.sparkSession

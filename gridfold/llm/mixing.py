@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, hash60, small
+from .common import cut, hash60, held, small
 
-WORD = r"[^\x20\x09-\x0D]+"
+#: A word with the white space behind it, and the characters that are white space.
+WORD, SPACE = r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", " \t\n\x0b\x0c\r"
 #: Cells of a level of the permutation: 12 bits of its 60-bit hash.
 CELL_BITS = 12
 #: Blocks into which a source's permuted documents are cut: 6 bits.
@@ -16,8 +17,8 @@ BLOCK_BITS = 6
 
 
 def size_of(text: str = "text") -> Column:
-    """Words of a text; 0 for null."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    """Words of a text; 0 for null. Each becomes one character: regexp_count would make a list of all words of a text."""
+    return F.coalesce(F.length(F.translate(F.regexp_replace(F.col(text), WORD, "x"), SPACE, "")), F.lit(0)).cast("long")
 
 
 def with_keys(docs: DataFrame, seed: str, text: str = "text", source: str = "source") -> DataFrame:
@@ -63,7 +64,7 @@ def mix_plan(keys: DataFrame, weights=(5, 2, 1), share=(3, 2), most: int = 2, pa
     first = cut(units.groupBy("source", cell(1).alias("c1")).agg(F.sum("words").alias("words")))
     plan = targets(first.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     plan = plan.withColumn("base", F.floor(F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most - 1.0))).otherwise(0)))
-    plan = cut(plan.withColumn("left", F.floor(F.col("target") - F.col("base") * F.col("source_size"))))
+    plan = held(plan.withColumn("left", F.floor(F.col("target") - F.col("base") * F.col("source_size"))))
 
     def edge(cells: DataFrame, c: str, room: DataFrame) -> DataFrame:
         """The first cell of each source that doesn't fit whole into its room, and the words before it."""
@@ -71,22 +72,22 @@ def mix_plan(keys: DataFrame, weights=(5, 2, 1), share=(3, 2), most: int = 2, pa
         return ran.where(F.col("cum") > F.col("room")).groupBy("source").agg(F.min(F.struct(c, (F.col("cum") - F.col("words")).alias("before"))).alias("e")).select("source", f"e.{c}", "e.before")
 
     room = plan.select("source", F.col("left").alias("room"))
-    at1 = cut(edge(first, "c1", room))
+    at1 = held(edge(first, "c1", room))
     inside = beside(units, at1.select("source", F.col("c1").alias("x1"))).where(cell(1) == F.col("x1"))
     second = inside.groupBy("source", (cell(2) - F.shiftleft("x1", CELL_BITS)).alias("c2")).agg(F.sum("words").alias("words"))
-    room = cut(beside(room, at1).select("source", (F.col("room") - F.col("before")).alias("room")))
-    at2 = cut(edge(second, "c2", room))
+    room = held(beside(room, at1).select("source", (F.col("room") - F.col("before")).alias("room")))
+    at2 = held(edge(second, "c2", room))
     last = beside(inside, at2.select("source", F.col("c2").alias("x2"))).where(cell(2) == F.shiftleft("x1", CELL_BITS) + F.col("x2"))
-    room = cut(beside(room, at2).select("source", (F.col("room") - F.col("before")).alias("room")))
+    room = held(beside(room, at2).select("source", (F.col("room") - F.col("before")).alias("room")))
     ends = beside(edge(last, "h", room), room)
-    gap = cut(ends.select("source", (F.col("h") - 1).alias("h_cut"), (F.col("room") - F.col("before")).alias("gap")))
+    gap = held(ends.select("source", (F.col("h") - 1).alias("h_cut"), (F.col("room") - F.col("before")).alias("gap")))
     fits = (F.col("h") > F.col("h_cut")) & (F.col("words") <= F.col("gap")) & (F.col("words") > 0) & ~F.array_contains("patches", F.col("h"))
     gap = gap.withColumn("patches", F.array().cast("array<long>"))
     for _ in range(patches):
         best = beside(units, gap).where(fits).groupBy("source").agg(F.max(F.struct("words", (-F.col("h")).alias("m"))).alias("p"))
-        gap = cut(beside(gap, cut(best), "left").select("source", "h_cut", (F.col("gap") - F.coalesce("p.words", F.lit(0))).alias("gap"), F.when(F.col("p").isNull(), F.col("patches")).otherwise(F.array_append("patches", -F.col("p.m"))).alias("patches")))
+        gap = held(beside(gap, held(best), "left").select("source", "h_cut", (F.col("gap") - F.coalesce("p.words", F.lit(0))).alias("gap"), F.when(F.col("p").isNull(), F.col("patches")).otherwise(F.array_append("patches", -F.col("p.m"))).alias("patches")))
     out = beside(plan, gap, "left")
-    return cut(out.select("source", "source_size", "target", "base", F.coalesce("h_cut", F.lit((1 << 60) - 1)).alias("h_cut"), F.coalesce("patches", F.array().cast("array<long>")).alias("patches")))
+    return held(out.select("source", "source_size", "target", "base", F.coalesce("h_cut", F.lit((1 << 60) - 1)).alias("h_cut"), F.coalesce("patches", F.array().cast("array<long>")).alias("patches")))
 
 
 def beside(rows: DataFrame, by: DataFrame, how: str = "inner") -> DataFrame:

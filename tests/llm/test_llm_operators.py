@@ -16,7 +16,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridfold.llm import components, licenses, media, mixing, packing, queries, secrets, simhash, suffixes, toxicity, urlfilter, vectors
+from gridfold.llm import common, components, licenses, media, mixing, packing, queries, secrets, simhash, suffixes, toxicity, urlfilter, vectors
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -665,3 +665,22 @@ def test_licenses_as_published(spark):
     assert got[2].digest == hashlib.sha256(b"hello").hexdigest()
     # lines are met by whatever list is passed in
     assert {r.doc_id: r.notices for r in licenses.scan(df, (("X", "Hello!"),)).collect()}[2] == "X"
+
+
+def test_words_are_counted_without_lists(spark):
+    texts_ = [None, "", " ", "\t\n\x0b\x0c\r ", "a", " a", "a ", "\r\na\x0bb\x0c c\t", "x y z", "  ä\U0001f600 b", "\x00 \x1f", "xx x" * 50, "a " * 30000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)], "doc_id long, text string").withColumn("n", mixing.size_of())
+    for r in df.collect():
+        assert r.n == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    assert "extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sources_are_held_without_files(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "w " * (i % 9), f"s{i % 7}" if i % 5 else None) for i in range(300)], "doc_id long, text string, source string")
+    plans, rows = [], []
+    for most in (20_000, 2):  # held, and kept in files as the tables are larger
+        monkeypatch.setattr(mixing, "held", lambda d, most=most: common.held(d, most))
+        plan = mixing.mix_plan(common.cut(mixing.with_keys(df, "mix")))
+        plans.append(plan._jdf.queryExecution().analyzed().toString())
+        rows.append(sorted(map(str, plan.collect())))
+    assert "LocalRelation" in plans[0] and "LocalRelation" not in plans[1] and rows[0] == rows[1] and len(rows[0]) == 8
