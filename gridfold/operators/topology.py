@@ -1,7 +1,7 @@
 """Elevation grids: neighbours that wrap around, gradients, curvature, box means, classes, a report and basins.
 
-Rows are (granule, y, x, h). Neighbour values come from windows along rows and columns of a granule; the far ends are
-neighbours, so plain lag and lead won't do.
+Rows are (granule, y, x, h). Neighbour values come from windows along rows and columns of a granule, or for curvature of a
+block of it with its surroundings; the far ends are neighbours, so plain lag and lead won't do.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Pixels along the side of a block, and granules up to which their sizes are broadcast.
+SIDE, MOST_BROADCAST = 128, 20_000
+
 
 def rolled(value: Column, by: int, keys: list[str], axis: str) -> Column:
     """Value that stands `by` places before along the axis, around the ends. Beside the row `by` places away only the far end's
@@ -32,23 +35,62 @@ def neighbours(grid: DataFrame, value: str = "h") -> DataFrame:
     return grid.withColumns({"up": rolled(v, 1, ["granule", "x"], "y"), "down": rolled(v, -1, ["granule", "x"], "y"), "left": rolled(v, 1, ["granule", "y"], "x"), "right": rolled(v, -1, ["granule", "y"], "x")})
 
 
-def gradients(grid: DataFrame) -> DataFrame:
-    """gy, gx: mean of the falls from the neighbour before and to the one after, each cut to whole numbers; magnitude is their
-    squared norm; mean5 the mean height with the four neighbours."""
-    n = neighbours(grid)
+def _sloped(n: DataFrame) -> DataFrame:
     fall = lambda before, after: (F.col(before) - F.col("h")).cast("long") + (F.col("h") - F.col(after)).cast("long")
     out = n.withColumns({"gy": fall("up", "down") / 2.0, "gx": fall("left", "right") / 2.0, "mean5": (F.col("h") + F.col("up") + F.col("down") + F.col("left") + F.col("right")) / 5.0})
     return out.withColumn("magnitude", F.col("gy") * F.col("gy") + F.col("gx") * F.col("gx")).drop("up", "down", "left", "right")
 
 
+def gradients(grid: DataFrame) -> DataFrame:
+    """gy, gx: mean of the falls from the neighbour before and to the one after, each cut to whole numbers; magnitude is their
+    squared norm; mean5 the mean height with the four neighbours."""
+    return _sloped(neighbours(grid))
+
+
+def blocks(grid: DataFrame, reach: int) -> DataFrame:
+    """Pixels dealt by block_, squares of a granule, each with a copy of what lies up to `reach` places around it, over
+    the granule's ends too; own_: the pixel itself. y and x of a copy count on past the ends. Everything that looks no farther
+    than `reach` is then found without a further shuffle."""
+    whole = lambda q: F.floor(q).cast("int")
+    sizes = grid.groupBy("granule").agg((F.max("y") + 1).alias("y_size_"), (F.max("x") + 1).alias("x_size_"))
+    out = grid.join(F.broadcast(sizes) if sizes.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else sizes, "granule").withColumn("own_", F.lit(True))
+    for c in "yx":
+        v, n, place, block = F.col(c), F.col(f"{c}_size_"), F.col(f"{c}_place_"), F.col(f"{c}_block_")
+        out = out.withColumn("turn_", F.explode(F.sequence(-whole((v + reach) / n), whole((n + reach - 1 - v) / n)))).withColumn(f"{c}_place_", v + F.col("turn_") * n)
+        out = out.withColumn(f"{c}_block_", F.explode(F.sequence(F.greatest(whole((place - reach) / SIDE), F.lit(0)), F.least(whole((place + reach) / SIDE), whole((n - 1) / SIDE)))))
+        out = out.withColumn("own_", F.col("own_") & (F.col("turn_") == 0) & (block == whole(place / SIDE))).withColumn(c, place).drop("turn_", f"{c}_place_")
+    # one column names granule and block: a granule that is a constant would be dropped from the windows, and they would shuffle again
+    named = out.withColumn("block_", F.concat_ws(" ", "y_block_", "x_block_", "granule"))
+    return named.drop("y_block_", "x_block_", "y_size_", "x_size_").repartition("block_")
+
+
+def _at(value: str, by: int, axis: str) -> Column:
+    """struct of the value `by` places before along the axis in a block; null where no pixel is."""
+    line = W.partitionBy("block_", "x" if axis == "y" else "y").orderBy(axis)
+    return F.first(F.struct(F.col(value).alias("v"))).over(line.rangeBetween(-by, -by))
+
+
+def _beside(pixels: DataFrame, value: str, found: dict[str, tuple[int, str]]) -> DataFrame:
+    """The named values beside each pixel that has a pixel at all those places."""
+    out = pixels.withColumns({name: _at(value, by, axis) for name, (by, axis) in found.items()})
+    for name in found:
+        out = out.where(F.col(name).isNotNull())
+    return out.withColumns({name: F.col(name)["v"] for name in found})
+
+
 def curvature(grid: DataFrame, arm: int = 5) -> DataFrame:
-    """cy, cx: half the difference of the whole-number falls over a long arm before and after, on five-point means."""
-    g = gradients(grid)
+    """cy, cx: half the difference of the whole-number falls over a long arm before and after, on five-point means; for pixels
+    that have all those neighbours. A pixel is shuffled once, with its block."""
+    g = _sloped(_beside(blocks(grid, arm + 1), "h", {"up": (1, "y"), "down": (-1, "y"), "left": (1, "x"), "right": (-1, "x")}))
     m = F.col("mean5")
-    wide = {f"{c}{s}": rolled(m, s * arm, ["granule", "x" if c == "y" else "y"], c) for c in "yx" for s in (1, -1)}
-    g = g.withColumns(wide)
+    wide = {f"{c}{s}": (s * arm, c) for c in "xy" for s in (1, -1)}
+    g = _beside(g, "mean5", wide).where("own_")
     bend = lambda c: ((F.col(f"{c}1") - m).cast("long") - (m - F.col(f"{c}-1")).cast("long")) / 2.0
-    return g.withColumns({"cy": bend("y"), "cx": bend("x")}).drop(*wide)
+    return g.withColumns({"cy": bend("y"), "cx": bend("x")}).drop(*wide, "own_", "block_")
+
+
+def _shapes() -> dict[str, Column]:
+    return {"bowl": F.least("cy", "cx") >= 0, "hill": F.greatest("cy", "cx") <= 0}
 
 
 def classified(grid: DataFrame, arm: int = 5, flat_share: float = 0.6) -> DataFrame:
@@ -56,18 +98,25 @@ def classified(grid: DataFrame, arm: int = 5, flat_share: float = 0.6) -> DataFr
     c = curvature(grid, arm)
     cut = c.groupBy("granule").agg(F.percentile("magnitude", flat_share).alias("flat_cut"))
     flags = c.join(cut, "granule")
-    return flags.withColumns({"flat": F.col("magnitude") < F.col("flat_cut"), "bowl": F.least("cy", "cx") >= 0, "hill": F.greatest("cy", "cx") <= 0})
-
-
-def report(grid: DataFrame, arm: int = 5) -> DataFrame:
-    """A row a granule: extremes, median and percentiles of the gradient, shares of the classes, distinct whole values."""
-    c = classified(grid, arm)
-    share = lambda cond: F.count_if(cond) * 100.0 / F.count(F.lit(1))
-    whole = F.col("h").cast("int")
-    return c.groupBy("granule").agg(
-        F.count(F.lit(1)).alias("n"), F.min("magnitude").alias("least"), F.max("magnitude").alias("greatest"), F.median("magnitude").alias("median"), F.percentile("magnitude", 0.9).alias("p90"),
-        share(F.col("flat")).alias("flat_pct"), share(F.col("bowl")).alias("bowl_pct"), share(F.col("hill")).alias("hill_pct"), share(F.col("flat") & F.col("bowl")).alias("flat_bowl_pct"),
-        F.count_distinct(whole).alias("heights"), F.min(whole).alias("lowest"), F.max(whole).alias("highest"),
+    return flags.withColumns({"flat": F.col("magnitude") < F.col("flat_cut"), **_shapes()})
+
+
+def report(grid: DataFrame, arm: int = 5, flat_share: float = 0.6) -> DataFrame:
+    """A row a granule: extremes, median and percentiles of the gradient, shares of the classes, distinct whole values. Pixels are
+    counted by gradient and by height first, so that only those counts meet by granule."""
+    c = curvature(grid, arm).select("granule", "magnitude", F.col("h").cast("int").alias("whole"), *[v.alias(k) for k, v in _shapes().items()])
+    sets = [[F.col("granule"), F.col("magnitude")], [F.col("granule"), F.col("whole")]]
+    # rows by height have no magnitude and count no pixels, rows by magnitude have no height
+    some = lambda n: F.when(F.grouping("magnitude") == 0, n).otherwise(0)
+    counts = c.groupingSets(sets, "granule", "magnitude", "whole").agg(some(F.count(F.lit(1))).alias("n"), some(F.count_if("bowl")).alias("bowls"), some(F.count_if("hill")).alias("hills"))
+    flat = F.col("magnitude") < F.percentile("magnitude", flat_share, F.col("n")).over(W.partitionBy("granule"))
+    counts = counts.withColumn("flat", F.coalesce(flat, F.lit(False)))
+    share = lambda n: F.sum(n) * 100.0 / F.sum("n")
+    of_flat = lambda n: F.when(F.col("flat"), F.col(n)).otherwise(0)
+    return counts.groupBy("granule").agg(
+        F.sum("n").alias("n"), F.min("magnitude").alias("least"), F.max("magnitude").alias("greatest"), F.percentile("magnitude", 0.5, F.col("n")).alias("median"), F.percentile("magnitude", 0.9, F.col("n")).alias("p90"),
+        share(of_flat("n")).alias("flat_pct"), share("bowls").alias("bowl_pct"), share("hills").alias("hill_pct"), share(of_flat("bowls")).alias("flat_bowl_pct"),
+        F.count("whole").alias("heights"), F.min("whole").alias("lowest"), F.max("whole").alias("highest"),
     )
 
 

@@ -166,6 +166,51 @@ def test_long_arms_carry_no_lines(spark):
         assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_report_shuffles_a_pixel_once(spark):
+    """Granules of several blocks and of less than an arm: report and classes as by NumPy, with one shuffle of pixels."""
+    import re
+
+    sizes = {"a": (150, 140), "b": (3, 131)}
+    heights = {g: (np.arange(h * w).reshape(h, w) * 7919 % 1009 % 83).astype(float) for g, (h, w) in sizes.items()}
+    grid = None
+    for g, (h, w) in sizes.items():
+        cells = spark.range(h * w).select(F.lit(g).alias("granule"), F.floor(F.col("id") / w).cast("int").alias("y"), (F.col("id") % w).cast("int").alias("x"), (F.col("id") * 7919 % 1009 % 83).cast("double").alias("h"))
+        grid = cells if grid is None else grid.union(cells)
+    made = topology.report(grid, arm=2)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(block_#", plan)) == 1 and not re.search(r"Exchange hashpartitioning\([^)]*\b[xy]#", plan)
+    rows = {r.granule: r for r in made.collect()}
+    assert sorted(rows) == sorted(sizes)
+    classes = {(r.granule, r.y, r.x): (r.cy, r.cx, r.flat, r.bowl, r.hill) for r in topology.classified(grid, arm=2).collect()}
+    assert len(classes) == sum(h * w for h, w in sizes.values())
+    for g, h in heights.items():
+        falls = lambda v, by, k: (np.trunc(np.roll(v, by, k) - v), np.trunc(v - np.roll(v, -by, k)))
+        m = (sum(falls(h, 1, 0)) / 2) ** 2 + (sum(falls(h, 1, 1)) / 2) ** 2
+        mean5 = (h + np.roll(h, 1, 0) + np.roll(h, -1, 0) + np.roll(h, 1, 1) + np.roll(h, -1, 1)) / 5
+        cy, cx = (np.subtract(*falls(mean5, 2, k)) / 2 for k in (0, 1))
+        flat, bowl, hill = m < np.percentile(m, 60), np.minimum(cy, cx) >= 0, np.maximum(cy, cx) <= 0
+        for (y, x), _ in np.ndenumerate(h):
+            assert classes[g, y, x] == (cy[y, x], cx[y, x], flat[y, x], bowl[y, x], hill[y, x]), (g, y, x)
+        want = [h.size, m.min(), m.max(), np.median(m), np.percentile(m, 90), *(100 * c.mean() for c in (flat, bowl, hill, flat & bowl)), len(np.unique(h)), h.min(), h.max()]
+        assert np.allclose(list(rows[g])[1:], want, rtol=1e-12), (g, rows[g], want)
+
+
+def test_terrain_with_pixels_missing(spark, tmp_path):
+    """A last row that ends early, places without a pixel, and pixels without a height, as by the SQL."""
+    import duckdb
+
+    from gridfold.plans.catalog import ORACLES, QUERIES
+
+    path = str(tmp_path / "part.parquet")
+    duckdb.sql(f"copy (select i::bigint p_partkey, (case when i % 97 <> 3 then 1 + i * 37 % 101 % 50 end)::int p_size from range(627) t(i) where i % 113 <> 5) to '{path}' (format parquet)")
+    duck = duckdb.connect()
+    duck.sql(f"create view part as select * from '{path}'")
+    for name in ("terrain_report", "terrain_classes"):
+        got = QUERIES[name](spark, str(tmp_path))
+        want = duck.sql(f"select {', '.join(got.columns)} from ({ORACLES[name]})").fetchall()
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)), name
+
+
 def test_utm_scene_in_tiles(spark):
     zone, northern = 33, True
     lon, lat = np.meshgrid(np.linspace(12.2, 17.8, 7), np.linspace(-60, 70, 9))
